@@ -7,6 +7,8 @@ only bring the numbers into a realistic range.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,24 +17,44 @@ from courtline.operators.bounds import small_side
 ZONE = "-05:00"
 
 
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+@lru_cache(maxsize=64)
 def row_count(spark: SparkSession, sf_dir: str, name: str) -> int:
-    """Rows of a table, from its file footers."""
+    """Rows of a table, from its file footers; looked up once per session."""
     return table(spark, sf_dir, name).count()
 
 
 def _cents(column: str) -> Column:
-    return F.col(column).cast("decimal(18,2)")
+    """A two-decimal amount as a whole number, so that its sum is exact."""
+    return F.rint(F.col(column) * 100).cast("long")
 
 
 def _mean(total: Column, n: str = "n") -> Column:
-    """Exact decimal or integer sum over a count."""
+    """A whole sum over a count."""
     return total.cast("double") / F.col(n)
 
 
+def _mean_cents(total: str) -> Column:
+    return _mean(F.col(total) / 100)
+
+
 def _share(condition: Column) -> Column:
     return F.count_if(condition)
 
@@ -64,8 +86,8 @@ def team_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = small_side(
         table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey"),
         row_count(spark, sf_dir, "supplier"))
-    pts = _mean(F.col("price")) / 500
-    opp_pts = _mean(F.col("order_price")) / 2500
+    pts = _mean_cents("price") / 500
+    opp_pts = _mean_cents("order_price") / 2500
     return (
         per_supplier.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
         .select(
@@ -77,9 +99,9 @@ def team_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
             _mean(F.col("finished")).alias("W_PCT"),
             (10 * (pts - opp_pts - 5)).alias("PLUS_MINUS"),
             _mean(F.col("kept")).alias("FG_PCT"),
-            (_mean(F.col("discount")) * 7).alias("FG3_PCT"),
+            (_mean_cents("discount") * 7).alias("FG3_PCT"),
             _mean(F.col("open")).alias("OPP_FG_PCT"),
-            _mean(F.col("quantity")).alias("AST"),
+            _mean_cents("quantity").alias("AST"),
             (_mean(F.col("line_numbers")) * 4).alias("OPP_TOV"),
             *(F.lit(None).cast("double").alias(c) for c in ("REB", "TOV", "REST_1_W_PCT", "REST_1_PTS")),
         )
@@ -308,7 +330,7 @@ def nation_documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
         .groupBy(*_team_columns())
         .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("o_orderstatus") == "F").alias("won"),
              F.sum(_cents("o_totalprice")).alias("total"))
-        .withColumn("price", _mean(F.col("total")))
+        .withColumn("price", _mean_cents("total"))
     )
 
     def document(names: list[str], formulas: dict[str, str]) -> tuple[Column, Column]:

@@ -26,13 +26,33 @@ def number_text(value: Column, decimals: int, signed: bool = False, percent: boo
     The sign is read off the unrounded value, so -0.04 at one decimal is ``-0.0``.
     """
     scaled = value * 100 if percent else value
-    digits = F.format_string(f"%.{decimals}f", F.bround(F.abs(scaled), decimals))
-    plus = "+" if signed else ""
-    sign = F.when(scaled.cast("string").startswith("-"), F.lit("-")).otherwise(F.lit(plus))
-    unit = F.lit("%" if percent else "")
-    return F.when(value.isNull(), F.lit(plus + "nan" + ("%" if percent else ""))).otherwise(
-        F.concat(sign, digits, unit)
+    rounded = F.bround(F.abs(scaled), decimals)
+    # Up to 28 digits a decimal prints faster than a format string; beyond, it does not fit.
+    digits = F.coalesce(
+        rounded.try_cast(f"decimal({28 + decimals},{decimals})").cast("string"),
+        F.format_string(f"%.{decimals}f", rounded),
     )
+    plus = "+" if signed else ""
+    unit = "%" if percent else ""
+    sign = F.when(scaled.cast("string").startswith("-"), "-").otherwise(plus)
+    return F.when(value.isNull(), f"{plus}nan{unit}").otherwise(F.concat(sign, digits, F.lit(unit)))
+
+
+def fill(template: str, *arguments: Column | str) -> Column:
+    """A ``%s`` template with its placeholders filled in order; ``nan`` for a missing value.
+
+    A plain concatenation, which Spark compiles, unlike a format string.
+    """
+    pieces = template.split("%s")
+    if len(pieces) != len(arguments) + 1:
+        raise ValueError(f"{len(pieces) - 1} placeholders, {len(arguments)} arguments")
+    parts = [F.lit(pieces[0])] if pieces[0] else []
+    for argument, piece in zip(arguments, pieces[1:]):
+        value = F.col(argument) if isinstance(argument, str) else argument
+        parts.append(F.coalesce(value, F.lit("nan")))
+        if piece:
+            parts.append(F.lit(piece))
+    return F.concat(*parts)
 
 
 def has_side(flag: Column, side: str) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from courtline import wording as w
 from courtline.config import ReportConfig
 from courtline.functions.odds import implied_probability, payout
-from courtline.functions.text import has_side, is_value, matchup, nickname, number_text
+from courtline.functions.text import fill, has_side, is_value, matchup, nickname, number_text
 from courtline.operators.value import any_value, value_games
 
 SPREAD, TOTAL, MONEYLINE = "spread", "total", "moneyline"
@@ -71,29 +71,29 @@ def bet_sheet_text(sheet: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
         return number_text(F.col(column), 1, signed=signed)
 
     def edge(column: str) -> Column:
-        return F.format_string(w.EDGE_TEXT, points(column))
+        return fill(w.EDGE_TEXT, points(column))
 
     spread, total, moneyline = (F.col(f"{b}_bet") != w.NO_BET for b in (SPREAD, TOTAL, MONEYLINE))
     return sheet.select(
         *keys,
         F.col("full_matchup").alias("header"),
-        F.format_string(w.POWER_TEXT, "away_short", points("away_power"),
-                        "home_short", points("home_power")).alias("power_line"),
+        fill(w.POWER_TEXT, "away_short", points("away_power"), "home_short", points("home_power"))
+        .alias("power_line"),
         "spread_strength",
-        F.when(spread, F.format_string(w.BET_TEXT, "spread_bet")).otherwise(w.NO_BET).alias("spread_label"),
+        F.when(spread, fill(w.BET_TEXT, "spread_bet")).otherwise(w.NO_BET).alias("spread_label"),
         F.when(spread, points("spread_line", signed=True))
-        .otherwise(F.format_string(w.BOOK_TEXT, points("sportsbook_spread", signed=True))).alias("spread_text"),
+        .otherwise(fill(w.BOOK_TEXT, points("sportsbook_spread", signed=True))).alias("spread_text"),
         F.when(spread, edge("spread_edge")).otherwise("").alias("spread_edge_text"),
         "total_strength",
-        F.when(total, F.format_string(w.BET_TEXT, "total_bet")).otherwise(w.NO_BET).alias("total_label"),
+        F.when(total, fill(w.BET_TEXT, "total_bet")).otherwise(w.NO_BET).alias("total_label"),
         F.when(total, points("total_line"))
-        .otherwise(F.format_string(w.BOOK_TEXT, points("sportsbook_total"))).alias("total_text"),
+        .otherwise(fill(w.BOOK_TEXT, points("sportsbook_total"))).alias("total_text"),
         F.when(total, edge("total_edge")).otherwise("").alias("total_edge_text"),
         "moneyline_strength",
         F.col("moneyline_bet").alias("moneyline_label"),
         F.when(moneyline, number_text(F.col("moneyline_price"), 0, signed=True)).otherwise("")
         .alias("moneyline_text"),
-        F.when(moneyline, F.format_string(
+        F.when(moneyline, fill(
             w.WIN_PROBABILITY_TEXT, number_text(F.col("moneyline_win_prob"), 0, percent=True)))
         .otherwise("").alias("moneyline_prob_text"),
     )
@@ -104,7 +104,7 @@ def value_overview(published: DataFrame, cfg: ReportConfig = ReportConfig(),
     """One row per game and bet type (spread, total): the gap, whether it is value, its threshold."""
     def series(bet_type: str, threshold: float) -> Column:
         gap, flagged = F.col(f"{bet_type}_diff"), is_value(F.col(f"{bet_type}_recommendation"))
-        label = F.format_string(w.EDGE_LABEL, number_text(F.abs(gap), 1))
+        label = fill(w.EDGE_LABEL, number_text(F.abs(gap), 1))
         return F.struct(
             F.lit(bet_type).alias("bet_type"),
             gap.alias("value"),
@@ -121,59 +121,63 @@ def value_overview(published: DataFrame, cfg: ReportConfig = ReportConfig(),
 def payout_text(price: Column, stake: float = 100.0) -> Column:
     """``$250 on a $100 bet``: both signs of the price are for the same stake."""
     stake_text = F.lit(f"{stake:.0f}")
-    return F.format_string(w.PAYOUT_TEXT, number_text(payout(price, stake), 0), stake_text)
+    return fill(w.PAYOUT_TEXT, number_text(payout(price, stake), 0), stake_text)
 
 
 def guide_cards(published: DataFrame, cfg: ReportConfig = ReportConfig(),
                 keys: Sequence[str] = ()) -> DataFrame:
     """Explanatory text per game: one row each for info, spread, total and moneyline."""
-    sheet = bet_sheet(published, cfg)
-
-    def pts(column: str | Column, signed: bool = False) -> Column:
-        return number_text(F.col(column) if isinstance(column, str) else column, 1, signed=signed)
-
-    def share(column: str) -> Column:
-        return number_text(F.col(column), 1, percent=True)
+    home, away = _side("spread_recommendation", "HOME", "AWAY")
+    over, under = _side("total_recommendation", "OVER", "UNDER")
 
-    def price(column: str) -> Column:
-        return number_text(F.col(column), 0, signed=True)
+    # Every number text is used by several cards: computed once, in a projection of its own.
+    points = {
+        "t_away_power": "away_power", "t_home_power": "home_power", "t_model_spread": "predicted_spread",
+        "t_spread_gap": F.abs("spread_diff"), "t_cushion": F.abs("spread_line"),
+        "t_book_total": "sportsbook_total", "t_model_total": "predicted_total",
+        "t_total_gap": F.abs("total_diff"),
+    }
+    signed_points = {
+        "t_line": "spread_line", "t_book_spread": "sportsbook_spread", "t_signed_model": "predicted_spread",
+    }
+    shares = {f"t_{c}": c for c in ("away_win_prob", "home_win_prob", "moneyline_win_prob")}
+    prices = {f"t_{c}": c for c in ("away_moneyline", "home_moneyline", "moneyline_price")}
+
+    def texts(sources: dict, decimals: int, **how: bool) -> dict[str, Column]:
+        return {
+            name: number_text(F.col(c) if isinstance(c, str) else c, decimals, **how)
+            for name, c in sources.items()
+        }
+
+    sheet = bet_sheet(published, cfg).withColumns({
+        **texts(points, 1), **texts(signed_points, 1, signed=True),
+        **texts(shares, 1, percent=True), **texts(prices, 0, signed=True),
+    })
 
-    home, away = _side("spread_recommendation", "HOME", "AWAY")
-    book_spread, model_spread = pts("sportsbook_spread", True), pts("predicted_spread")
-    spread_gap = pts(F.abs("spread_diff"))
-    line, cushion = pts("spread_line", True), pts(F.abs("spread_line"))
     spread = (
-        F.when(home, F.format_string(
-            w.CARD_SPREAD_HOME, "spread_bet", line, "spread_bet", cushion, "home_short", book_spread,
-            "home_short", model_spread, spread_gap, "spread_bet"))
-        .when(away, F.format_string(
-            w.CARD_SPREAD_AWAY, "spread_bet", line, "spread_bet", cushion, "away_short", line,
-            "home_short", book_spread, "home_short", model_spread, spread_gap, "spread_bet"))
-        .otherwise(F.format_string(
-            w.CARD_SPREAD_NONE, "home_short", book_spread, "home_short", pts("predicted_spread", True),
-            spread_gap))
+        F.when(home, fill(
+            w.CARD_SPREAD_HOME, "spread_bet", "t_line", "spread_bet", "t_cushion", "home_short",
+            "t_book_spread", "home_short", "t_model_spread", "t_spread_gap", "spread_bet"))
+        .when(away, fill(
+            w.CARD_SPREAD_AWAY, "spread_bet", "t_line", "spread_bet", "t_cushion", "away_short", "t_line",
+            "home_short", "t_book_spread", "home_short", "t_model_spread", "t_spread_gap", "spread_bet"))
+        .otherwise(fill(
+            w.CARD_SPREAD_NONE, "home_short", "t_book_spread", "home_short", "t_signed_model", "t_spread_gap"))
     )
-
-    over, under = _side("total_recommendation", "OVER", "UNDER")
-    book_total, model_total = pts("sportsbook_total"), pts("predicted_total")
-    total_gap = pts(F.abs("total_diff"))
-    total = F.when(over | under, F.format_string(
-        w.CARD_TOTAL_BET, "total_bet", book_total,
-        F.when(over, "MORE").otherwise("LESS"), book_total, book_total, model_total, total_gap,
+    total = F.when(over | under, fill(
+        w.CARD_TOTAL_BET, "total_bet", "t_book_total", F.when(over, "MORE").otherwise("LESS"),
+        "t_book_total", "t_book_total", "t_model_total", "t_total_gap",
         F.when(over, "higher-scoring").otherwise("lower-scoring"),
-    )).otherwise(F.format_string(w.CARD_TOTAL_NONE, book_total, model_total, total_gap))
-
-    chosen = price("moneyline_price")
-    moneyline = F.when(is_value(F.col("moneyline_recommendation")), F.format_string(
-        w.CARD_MONEYLINE_BET, "moneyline_bet", chosen, "moneyline_bet", chosen,
-        payout_text(F.col("moneyline_price"), cfg.stake), share("moneyline_win_prob"), "moneyline_bet",
-    )).otherwise(F.format_string(
-        w.CARD_MONEYLINE_NONE, "away_short", price("away_moneyline"), share("away_win_prob"),
-        "home_short", price("home_moneyline"), share("home_win_prob")))
-
-    info = F.format_string(
-        w.CARD_INFO, "away_short", pts("away_power"), "home_short", pts("home_power"),
-        "away_short", share("away_win_prob"), "home_short", share("home_win_prob"))
+    )).otherwise(fill(w.CARD_TOTAL_NONE, "t_book_total", "t_model_total", "t_total_gap"))
+    moneyline = F.when(is_value(F.col("moneyline_recommendation")), fill(
+        w.CARD_MONEYLINE_BET, "moneyline_bet", "t_moneyline_price", "moneyline_bet", "t_moneyline_price",
+        payout_text(F.col("moneyline_price"), cfg.stake), "t_moneyline_win_prob", "moneyline_bet",
+    )).otherwise(fill(
+        w.CARD_MONEYLINE_NONE, "away_short", "t_away_moneyline", "t_away_win_prob",
+        "home_short", "t_home_moneyline", "t_home_win_prob"))
+    info = fill(
+        w.CARD_INFO, "away_short", "t_away_power", "home_short", "t_home_power",
+        "away_short", "t_away_win_prob", "home_short", "t_home_win_prob")
 
     cards = {"info": info, SPREAD: spread, TOTAL: total, MONEYLINE: moneyline}
     return sheet.select(*keys, "full_matchup", F.inline(F.array(*(
