@@ -1,0 +1,65 @@
+"""Price arithmetic: edges by hand, identities by property."""
+
+import math
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from courtline.functions.odds import american_odds, filled_fields, implied_probability, logistic, payout
+
+PROPERTY = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+
+
+def column(spark, values):
+    return spark.createDataFrame([(None if v is None else float(v),) for v in values], "x double")
+
+
+def evaluate(spark, values, expression):
+    return [row[0] for row in column(spark, values).select(expression(F.col("x"))).collect()]
+
+
+def test_american_odds_edges(spark):
+    even, sure, never, missing, favourite, underdog = evaluate(
+        spark, [0.5, 1.0, 0.0, None, 0.75, 0.25], american_odds)
+    assert even == 100.0          # exactly even is priced as an underdog
+    assert sure is None and never is None and missing is None  # no price, no exception
+    assert math.isclose(favourite, -300.0) and math.isclose(underdog, 300.0)
+
+
+def test_equal_powers_price(spark):
+    [home] = evaluate(spark, [3.0], lambda x: logistic(x, 10.0))
+    assert math.isclose(home, 0.5744, abs_tol=1e-4)
+    [price] = evaluate(spark, [home], american_odds)
+    assert round(price) == -135
+
+
+def test_logistic_extremes(spark):
+    assert evaluate(spark, [1e6, -1e6, None], lambda x: logistic(x, 10.0)) == [1.0, 0.0, None]
+
+
+@PROPERTY
+@given(st.lists(st.floats(0.001, 0.999).filter(lambda p: abs(p - 0.5) > 1e-6), min_size=1, max_size=50))
+def test_implied_probability_inverts_the_price(spark, probabilities):
+    back = evaluate(spark, probabilities, lambda x: implied_probability(american_odds(x)))
+    assert all(math.isclose(a, b, rel_tol=1e-9) for a, b in zip(back, probabilities))
+
+
+@PROPERTY
+@given(st.lists(st.floats(-60, 60).filter(lambda d: abs(d) > 1e-3), min_size=1, max_size=50))
+def test_both_sides_mirror(spark, margins):
+    rows = column(spark, margins).select(
+        logistic(F.col("x"), 10.0).alias("home")).select(
+        "home", american_odds(F.col("home")).alias("h"), american_odds(1 - F.col("home")).alias("a")).collect()
+    for row in rows:
+        assert math.isclose(row["h"], -row["a"], rel_tol=1e-6)
+
+
+def test_payout(spark):
+    assert evaluate(spark, [150, -200, 0, None], payout) == [250.0, 150.0, None, None]
+    assert evaluate(spark, [150], lambda x: payout(x, 10.0)) == [25.0]
+
+
+def test_filled_fields(spark):
+    df = spark.createDataFrame([(1.0, None), (None, None), (1.0, 2.0)], "a double, b double")
+    assert [r[0] for r in df.select(filled_fields(F.col("a"), F.col("b"))).collect()] == [1, 0, 2]
