@@ -62,8 +62,3 @@ def has_side(flag: Column, side: str) -> Column:
 
 def is_value(flag: Column) -> Column:
     return flag != w.NO_VALUE
-
-
-def snapshot_stamp(ts: Column) -> Column:
-    """Timestamp as used in snapshot names."""
-    return F.date_format(ts, w.SNAPSHOT_FORMAT)

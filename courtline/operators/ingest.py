@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from courtline import schemas
 from courtline import wording as w
 from courtline.functions.dates import event_instant, local_date_of_instant, local_date_of_utc, utc_window
-from courtline.operators.bounds import small_side
+from courtline.operators.bounds import BROADCAST_ROW_LIMIT, small_side
 from courtline.operators.selection import best_offer_of_items
 
 GAME = "game"
@@ -27,16 +27,19 @@ ERROR = "error"
 
 
 def decode(documents: DataFrame, kind: str, body: str) -> DataFrame:
-    """Documents of one kind with their decoded body and whether it was unreadable."""
+    """Documents of one kind with their decoded body and whether it was unreadable.
+
+    The body leaves through `explode_outer`, so that filters on its fields are
+    not moved below it and decode it again.
+    """
     parsed = F.from_json(
         "body", f"{body}, _corrupt_record string",
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"},
     )
     return (
         documents.filter(F.col("kind") == kind)
-        .withColumn("doc", parsed)
+        .select("sport", "url", "page", F.explode_outer(F.array(parsed)).alias("doc"))
         .withColumn("unreadable", F.col("doc").isNull() | F.col("doc._corrupt_record").isNotNull())
-        .drop("body")
     )
 
 
@@ -100,6 +103,19 @@ def dated_events(documents: DataFrame, zone: str, first: date | None = None,
     )
 
 
+def _referenced(documents: DataFrame, kind: str, urls: DataFrame, row_bound: int | None) -> DataFrame:
+    """Documents of a kind, cut to the referenced URLs before they are decoded.
+
+    Only if those are known to be few: then they are broadcast and the other
+    bodies are neither decoded nor shuffled.  Otherwise every body is decoded and
+    cut down to a few numbers first, which is cheaper than shuffling raw bodies.
+    """
+    wanted = documents.filter(F.col("kind") == kind)
+    if row_bound is None or row_bound > BROADCAST_ROW_LIMIT:
+        return wanted
+    return wanted.join(F.broadcast(urls), "url", "left_semi")
+
+
 def _best_prices(documents: DataFrame) -> DataFrame:
     """Best offer per odds URL: chosen within each body first, then across its pages."""
     bodies = decode(documents, "odds", schemas.ODDS_BODY).select(
@@ -120,10 +136,17 @@ def _key(reference: Column) -> Column:
     return F.coalesce(reference, F.concat(F.lit("no reference from "), F.col("event_url")))
 
 
-def resolve(documents: DataFrame, events: DataFrame, teams_row_bound: int | None = None) -> DataFrame:
-    """Follow open events to teams and best prices; every one gets a disposition."""
+def resolve(documents: DataFrame, events: DataFrame, teams_row_bound: int | None = None,
+            events_row_bound: int | None = None) -> DataFrame:
+    """Follow open events to teams and best prices; every one gets a disposition.
+
+    The bounds are proven upper limits on the number of team documents and of
+    ``events``, if known; small ones save shuffles and decoding.
+    """
     away, home = sides(F.col("doc.competitors"))
-    competitions = decode(documents, "competition", schemas.COMPETITION_BODY).select(
+    competition_docs = _referenced(
+        documents, "competition", events.select(F.col("competition_url").alias("url")), events_row_bound)
+    competitions = decode(competition_docs, "competition", schemas.COMPETITION_BODY).select(
         F.col("url").alias("competition_url"),
         F.col("unreadable").alias("competition_unreadable"),
         away["team"]["$ref"].alias("away_ref"),
@@ -138,13 +161,14 @@ def resolve(documents: DataFrame, events: DataFrame, teams_row_bound: int | None
         events.withColumn("competition_url", _key(F.col("competition_url")))
         .join(competitions, "competition_url", "left")
     )
+    odds_docs = _referenced(documents, "odds", out.select(F.col("odds_ref").alias("url")), events_row_bound)
     for role in ("away", "home"):
         side = teams.select(F.col("team_url").alias(f"{role}_url"), F.col("name").alias(f"{role}_team"))
         out = out.withColumn(f"{role}_url", _key(F.col(f"{role}_ref"))).join(
             small_side(side, teams_row_bound), f"{role}_url", "left"
         )
     out = out.withColumn("odds_url", _key(F.col("odds_ref"))).join(
-        _best_prices(documents), "odds_url", "left"
+        _best_prices(odds_docs), "odds_url", "left"
     )
     disposition = (
         F.when(F.coalesce("competition_unreadable", F.lit(True)), ERROR)
@@ -160,31 +184,37 @@ def resolve(documents: DataFrame, events: DataFrame, teams_row_bound: int | None
     )
 
 
-def _open(events: DataFrame) -> DataFrame:
+def open_events(documents: DataFrame, zone: str, first: date | None = None,
+                last: date | None = None) -> DataFrame:
+    """Listed events dated ``first..last`` that are worth following."""
+    events = dated_events(documents, zone, first, last)
     return events.filter(F.col("disposition").isNull()).drop("disposition")
 
 
 def odds_snapshot(documents: DataFrame, zone: str, first: date | None = None,
-                  last: date | None = None, teams_row_bound: int | None = None) -> DataFrame:
+                  last: date | None = None, teams_row_bound: int | None = None,
+                  events_row_bound: int | None = None) -> DataFrame:
     """One row per game dated ``first..last`` with the prices of its best provider.
 
     Events of other dates are dropped before any further hop.
     """
-    events = _open(dated_events(documents, zone, first, last))
-    games = resolve(documents, events, teams_row_bound)
+    events = open_events(documents, zone, first, last)
+    games = resolve(documents, events, teams_row_bound, events_row_bound)
     return games.filter(F.col("disposition") == GAME).drop("disposition")
 
 
 def event_outcomes(documents: DataFrame, zone: str, first: date | None = None,
-                   last: date | None = None, teams_row_bound: int | None = None) -> DataFrame:
+                   last: date | None = None, teams_row_bound: int | None = None,
+                   events_row_bound: int | None = None) -> DataFrame:
     """Every listed event with what became of it (see the constants above).
 
     The rows that are not games are the quarantine, each with its reason.
     """
     events = dated_events(documents, zone, first, last)
     stopped = events.filter(F.col("disposition").isNotNull()).select("event_url", "disposition")
-    followed = resolve(documents, _open(events), teams_row_bound).select("event_url", "disposition")
-    return stopped.unionByName(followed)
+    followed = resolve(
+        documents, open_events(documents, zone, first, last), teams_row_bound, events_row_bound)
+    return stopped.unionByName(followed.select("event_url", "disposition"))
 
 
 def disposition_counts(outcomes: DataFrame) -> DataFrame:

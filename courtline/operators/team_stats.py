@@ -19,18 +19,20 @@ def decode_result_set(documents: DataFrame) -> DataFrame:
     """Documents plus the ``headers`` and ``rowSet`` of their first result set.
 
     Unreadable documents are dropped; one with an empty list of result sets
-    stays, with both null.
+    stays, with both null.  The decoded set leaves through `explode_outer`, so
+    that filters on it are not moved below it and decode the body again.
     """
     sets = F.from_json("body", schemas.STATS_BODY)["resultSets"]
-    decoded = documents.withColumn("result_sets", sets)
     first = F.get("result_sets", F.lit(0))
-    readable = (F.size("result_sets") == 0) | (
-        first["headers"].isNotNull() & first["rowSet"].isNotNull()
-    )
+    headers, rows = first["headers"], first["rowSet"]
+    usable = (F.size("result_sets") == 0) | (headers.isNotNull() & rows.isNotNull())
+    found = F.when(usable, F.array(F.struct(headers.alias("headers"), rows.alias("rowSet"))))
+    kept = [c for c in documents.columns if c != "body"]
     return (
-        decoded.filter(F.col("result_sets").isNotNull() & readable)
-        .withColumns({"headers": first["headers"], "rowSet": first["rowSet"]})
-        .drop("result_sets", "body")
+        documents.select(*kept, sets.alias("result_sets"))
+        .select(*kept, F.explode_outer(found).alias("found"))
+        .filter(F.col("found").isNotNull())
+        .select(*kept, "found.headers", "found.rowSet")
     )
 
 

@@ -41,14 +41,28 @@ def team_stats_table(base_docs: DataFrame, opponent_docs: DataFrame, log_docs: D
     return team_stats.conform(wide, keys=extra)
 
 
+def games_in_window(documents: DataFrame, zone: str, as_of: date, days: int = 3,
+                    teams_row_bound: int | None = None) -> DataFrame:
+    """Games with odds from ``as_of`` on, for ``days`` days.
+
+    Counts the events of those days first: a few days' events are few, and then
+    only the documents they refer to are decoded.
+    """
+    last = as_of + timedelta(days=days - 1)
+    n_events = ingest.open_events(documents, zone, as_of, last).count()
+    return ingest.odds_snapshot(documents, zone, as_of, last, teams_row_bound, n_events)
+
+
 def next_available_games(documents: DataFrame, zone: str, as_of: date, days: int = 3,
                          teams_row_bound: int | None = None) -> DataFrame:
     """Games with odds on the first day from ``as_of`` on that has any, per sport."""
-    last = as_of + timedelta(days=days - 1)
-    near = ingest.odds_snapshot(documents, zone, as_of, last, teams_row_bound)
+    near = games_in_window(documents, zone, as_of, days, teams_row_bound)
     return next_game_day(near, as_of, ("sport",), "event_date", days)
 
 
+GAMES = ("sport string, event_url string, event_date date, away_team string, home_team string, "
+         "spread double, away_moneyline double, home_moneyline double, total double")
+
 REPORTS: dict[str, Callable[[DataFrame, ReportConfig], DataFrame]] = {
     "bet_sheet": reports.bet_sheet,
     "bet_sheet_text": lambda published, cfg: reports.bet_sheet_text(reports.bet_sheet(published, cfg)),
@@ -78,8 +92,9 @@ def run_day(spark: SparkSession, documents: DataFrame, stats: DataFrame, paths:
     once written, also has a known size: Spark broadcasts it only if it is small.
     """
     writers.write_team_stats(stats, paths.of("team_stats"))
-    games = next_available_games(documents, zone, as_of)
-    writers.write_odds_snapshot(games, paths.of("odds"), snapshot_ts)
+    games_in_window(documents, zone, as_of).write.mode("overwrite").parquet(paths.of("games_in_window"))
+    near = spark.read.schema(GAMES).parquet(paths.of("games_in_window"))
+    writers.write_odds_snapshot(next_game_day(near, as_of), paths.of("odds"), snapshot_ts)
 
     snapshot = readers.read_odds_table(spark, paths.of("odds")).filter(
         F.col("snapshot") == writers.snapshot_name(snapshot_ts))

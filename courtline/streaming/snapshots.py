@@ -26,10 +26,19 @@ def stream_odds(spark: SparkSession, data_dir: str, sport: str = "nba") -> DataF
     return with_snapshot_ts(files)
 
 
-def stream_ponderations(odds: DataFrame, ratings: DataFrame, path: str, checkpoint: str,
+def checkpoint_folder(spark: SparkSession, name: str) -> str:
+    """Folder for a stream's progress under the shared one the cluster names."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        raise ValueError("set spark.checkpoint.dir to a shared folder, or pass a checkpoint path")
+    return f"{shared.rstrip('/')}/{name}"
+
+
+def stream_ponderations(odds: DataFrame, ratings: DataFrame, path: str, checkpoint: str | None = None,
                         cfg: ValueConfig = ValueConfig(),
                         ratings_row_bound: int | None = None) -> StreamingQuery:
     """Append published predictions of all snapshots not seen yet, then stop."""
+    checkpoint = checkpoint or checkpoint_folder(odds.sparkSession, "ponderations")
     flagged = value_flags(predict(join_ratings(odds, ratings, (), ratings_row_bound), cfg), cfg)
     return (
         ponderations(flagged, ["snapshot_ts"]).writeStream.format("parquet").outputMode("append")

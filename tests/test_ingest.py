@@ -107,9 +107,9 @@ def by_key(df):
     return {r["event_url"].removeprefix("/event/"): r for r in records(df)}
 
 
-@pytest.mark.parametrize("bound", [None, 30])
-def test_outcomes(documents, bound):
-    outcomes = ingest.event_outcomes(documents, NEW_YORK, DAY, DAY, bound)
+@pytest.mark.parametrize("teams, events", [(None, None), (30, None), (30, 100), (None, 10 ** 9)])
+def test_outcomes(documents, teams, events):
+    outcomes = ingest.event_outcomes(documents, NEW_YORK, DAY, DAY, teams, events)
     assert {k: r["disposition"] for k, r in by_key(outcomes).items()} == EXPECTED
 
 
@@ -134,6 +134,13 @@ def test_snapshot(documents):
     assert games["late"]["event_date"] == DAY
 
 
+def test_few_events_leave_other_bodies_undecoded(documents):
+    games = ingest.odds_snapshot(documents, NEW_YORK, DAY, DAY, 30, 100)
+    plan = games._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftSemi") >= 2
+    assert by_key(games).keys() == {k for k, d in EXPECTED.items() if d == "game"}
+
+
 def test_every_date(documents):
     games = by_key(ingest.odds_snapshot(documents, NEW_YORK))
     assert games["next day"]["event_date"] == date(2025, 11, 5)

@@ -1,0 +1,107 @@
+"""Hot keys: a third of all rows on one key must neither change results nor end in one task."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from courtline.operators.matchup import join_ratings
+from courtline.operators.ratings import power_rating
+from courtline.operators.rest import days_rest
+from courtline.operators.selection import best_offer
+from tests.test_value import TYPICAL
+
+SHUFFLED = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.shuffle.partitions": "16",
+}
+
+
+@pytest.fixture
+def shuffled(spark):
+    """Joins shuffle, and small partitions already count as skewed."""
+    before = {k: spark.conf.get(k, None) for k in SHUFFLED}
+    for key, value in SHUFFLED.items():
+        spark.conf.set(key, value)
+    yield spark
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def final_plan(df):
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def hot(n, modulus):
+    """Key 0 for every third row."""
+    return F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % modulus)
+
+
+def test_hot_team_is_split_in_the_rating_join(shuffled):
+    teams = shuffled.range(500).select(
+        F.concat(F.lit("team "), F.col("id").cast("string")).alias("TEAM_NAME"),
+        *(F.lit(v).alias(c) for c, v in TYPICAL.items()),
+        *(F.lit(None).cast("double").alias(c) for c in ("REST_1_W_PCT", "REST_1_PTS")))
+    games = shuffled.range(0, 90_000, 1, 12).select(
+        F.col("id").alias("event_id"),
+        F.concat(F.lit("team "), hot(90_000, 499).cast("string")).alias("home_team"),
+        F.when(F.col("id") % 3 == 1, "Unknown").otherwise("team 1").alias("away_team"))
+    out = join_ratings(games, power_rating(teams))
+    assert out.filter(F.col("home_power_rating").isNull()).count() == 0
+    assert out.filter(F.col("away_power_rating").isNull()).count() == 30_000
+    rows = out.select("event_id", "away_power_rating", "home_power_rating")
+    assert len(rows.collect()) == 90_000
+    plan = final_plan(rows)
+    assert plan.count("SortMergeJoin(skew=true)") == 2, plan
+
+
+def test_a_bound_saves_the_shuffle_and_a_large_one_does_not(shuffled):
+    teams = shuffled.createDataFrame([("a", *TYPICAL.values())],
+                                     "TEAM_NAME string, " + ", ".join(f"{c} double" for c in TYPICAL))
+    teams = teams.withColumns({c: F.lit(None).cast("double") for c in ("REST_1_W_PCT", "REST_1_PTS")})
+    games = shuffled.createDataFrame([("a", "b")], "away_team string, home_team string")
+
+    def plan(bound):
+        joined = join_ratings(games, power_rating(teams), ratings_row_bound=bound)
+        return joined._jdf.queryExecution().executedPlan().toString()
+
+    assert plan(30).count("BroadcastHashJoin") == 2
+    for unbounded in (None, 10 ** 9):
+        assert plan(unbounded).count("SortMergeJoin") == 2 and "Broadcast" not in plan(unbounded)
+
+
+def test_hot_event_is_combined_before_the_shuffle(shuffled):
+    offers = shuffled.range(0, 60_000, 1, 12).select(
+        hot(60_000, 977).alias("event_id"), F.col("id").cast("int").alias("pos"),
+        F.when(F.col("id") % 7 == 6, 1.0).alias("spread"), F.lit(None).cast("double").alias("away_moneyline"),
+        F.lit(1.0).alias("home_moneyline"), F.lit(None).cast("double").alias("total"))
+    best = best_offer(offers)
+    rows = {r["event_id"]: r["pos"] for r in best.collect()}
+    assert len(rows) == 977 and rows[0] == 6
+    assert "partial_min_by" in final_plan(best)
+
+
+def test_hot_team_and_day_in_the_rest_join(shuffled):
+    """The windowed table holds one row per team and day; the log is joined on both and split."""
+    log = shuffled.range(0, 60_000, 1, 12).select(
+        hot(60_000, 30).alias("team_id"), F.col("id").alias("game_id"),
+        F.when(F.col("id") % 3 == 0, "NOV 04, 2025")
+        .otherwise(F.concat(F.lit("DEC "), (1 + F.col("id") % 28).cast("string"), F.lit(", 2025"))).alias("game_date_text"),
+        F.lit("W").alias("wl"), F.lit(1.0).alias("pts"), F.lit(1.0).alias("plus_minus"))
+    rested = days_rest(log)
+    rows = rested.collect()
+    assert len(rows) == 60_000
+    assert sum(r["days_rest"] == -1 for r in rows if r["game_id"] % 3 == 0) == 19_999
+    assert "SortMergeJoin(skew=true)" in final_plan(rested), final_plan(rested)
+
+
+def test_no_window_without_partition_and_no_cross_join():
+    import pathlib
+    import re
+    source = "\n".join(p.read_text() for p in pathlib.Path(__file__).parent.parent.glob("courtline/**/*.py"))
+    code = re.sub(r'"""(?:.|\n)*?"""', "", source)
+    for forbidden in ("crossJoin", "localCheckpoint", "toPandas", "Window.orderBy", "coalesce(1)", "F.udf", "rdd"):
+        assert forbidden not in code, forbidden

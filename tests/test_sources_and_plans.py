@@ -1,6 +1,7 @@
 """Readers, writers, the daily run and the file stream."""
 
 from datetime import date, datetime
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,8 +13,9 @@ from courtline.operators.ratings import power_rating
 from courtline.operators.selection import latest_snapshot
 from courtline.operators.value import ponderations
 from courtline.plans import daily
+from courtline.session import MAX_PARTITIONS, initial_partitions
 from courtline.sources import readers, writers
-from courtline.streaming.snapshots import stream_odds, stream_ponderations
+from courtline.streaming.snapshots import checkpoint_folder, stream_odds, stream_ponderations
 from tests.conftest import records
 from tests.test_ingest import OFFER, Landed, team
 from tests.test_value import stats
@@ -169,6 +171,22 @@ def test_stream_takes_each_snapshot_once(spark, tmp_path):
     assert len(run()) == 3
 
 
+def test_checkpoint_folder_comes_from_the_session():
+    def session(**conf):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: conf.get(key, default)))
+
+    shared = session(**{"spark.checkpoint.dir": "hdfs://shared/checkpoints/"})
+    assert checkpoint_folder(shared, "x") == "hdfs://shared/checkpoints/x"
+    with pytest.raises(ValueError):
+        checkpoint_folder(session(), "x")
+
+
+def test_partitions_grow_with_the_shuffle():
+    assert initial_partitions(0) == 200
+    assert initial_partitions(256 * 1024 ** 2 * 1000 + 1) == 1001
+    assert initial_partitions(10 ** 15) == MAX_PARTITIONS
+
+
 def test_nothing_needs_the_session_zone(spark):
     assert spark.conf.get("spark.sql.session.timeZone") == "America/New_York"
     assert spark.range(1).select(F.current_timezone()).first()[0] == "America/New_York"
