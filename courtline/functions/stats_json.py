@@ -6,21 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def has_header(headers: Column, name: str) -> Column:
-    return F.coalesce(F.array_contains(headers, name), F.lit(False))
-
-
-def stat(headers: Column, row: Column, name: str, type_: str = "string") -> Column:
+def stat(name: str, type_: str = "string", headers: str = "headers", row: str = "row") -> Column:
     """Value under a header; null if the header is absent, the row short or the text unreadable."""
-    position = F.array_position(headers, F.lit(name)).cast("int")
-    return F.get(row, position - 1).try_cast(type_)
+    return F.expr(f"try_cast(get({row}, CAST(array_position({headers}, '{name}') AS INT) - 1) AS {type_})")
 
 
-def stat_or_default(headers: Column, row: Column, name: str, default: float) -> Column:
+def stat_or_default(name: str, default: float, headers: str = "headers", row: str = "row") -> Column:
     """Like :func:`stat`, with a default for an absent header only; an explicit null stays null."""
-    return F.when(has_header(headers, name), stat(headers, row, name, "double")).otherwise(
-        F.lit(float(default))
-    )
+    present = F.expr(f"coalesce(array_contains({headers}, '{name}'), false)")
+    return F.when(present, stat(name, "double", headers, row)).otherwise(F.lit(float(default)))
 
 
 def row_map(headers: Column, row: Column) -> Column:

@@ -3,10 +3,15 @@
 Documents refer to one another by URL: event list -> event -> competition ->
 two teams and one odds document.  Every hop is an equi-join, and each kind of
 document is decoded and cut down to the needed fields before it is shuffled.
+
+Documents are those of one fetch.  Of a table holding many fetches, name the
+columns that tell them apart (say a snapshot time) as ``scope``: references are
+then followed within each fetch, all fetches at once.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -26,7 +31,7 @@ NO_ODDS = "no_odds"
 ERROR = "error"
 
 
-def decode(documents: DataFrame, kind: str, body: str) -> DataFrame:
+def decode(documents: DataFrame, kind: str, body: str, scope: Sequence[str] = ()) -> DataFrame:
     """Documents of one kind with their decoded body and whether it was unreadable.
 
     The body leaves through `explode_outer`, so that filters on its fields are
@@ -38,7 +43,7 @@ def decode(documents: DataFrame, kind: str, body: str) -> DataFrame:
     )
     return (
         documents.filter(F.col("kind") == kind)
-        .select("sport", "url", "page", F.explode_outer(F.array(parsed)).alias("doc"))
+        .select(*scope, "sport", "url", "page", F.explode_outer(F.array(parsed)).alias("doc"))
         .withColumn("unreadable", F.col("doc").isNull() | F.col("doc._corrupt_record").isNotNull())
     )
 
@@ -60,22 +65,23 @@ def sides(competitors: Column) -> tuple[Column, Column]:
     )
 
 
-def listed_events(documents: DataFrame) -> DataFrame:
+def listed_events(documents: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     """Every event reference of the event lists."""
-    lists = decode(documents, "events", schemas.EVENT_LIST_BODY)
-    return lists.select("sport", F.explode("doc.items").alias("item")).select(
-        "sport", F.col("item")["$ref"].alias("event_url")
+    lists = decode(documents, "events", schemas.EVENT_LIST_BODY, scope)
+    return lists.select(*scope, "sport", F.explode("doc.items").alias("item")).select(
+        *scope, "sport", F.col("item")["$ref"].alias("event_url")
     )
 
 
 def dated_events(documents: DataFrame, zone: str, first: date | None = None,
-                 last: date | None = None) -> DataFrame:
+                 last: date | None = None, scope: Sequence[str] = ()) -> DataFrame:
     """Listed events with their local date and, if they stop here, their disposition.
 
     Only events dated ``first..last`` (inclusive, both optional) stay open
     (null disposition).
     """
-    events = decode(documents, "event", schemas.EVENT_BODY).select(
+    events = decode(documents, "event", schemas.EVENT_BODY, scope).select(
+        *scope,
         F.col("url").alias("event_url"),
         "unreadable",
         F.col("doc.date").alias("date_text"),
@@ -96,14 +102,15 @@ def dated_events(documents: DataFrame, zone: str, first: date | None = None,
         .when(wrong, WRONG_DATE)
     )
     return (
-        listed_events(documents).join(events, "event_url", "left")
+        listed_events(documents, scope).join(events, [*scope, "event_url"], "left")
         .withColumn("event_date", event_date)
         .withColumn("disposition", disposition)
-        .select("sport", "event_url", "event_date", "competition_url", "disposition")
+        .select(*scope, "sport", "event_url", "event_date", "competition_url", "disposition")
     )
 
 
-def _referenced(documents: DataFrame, kind: str, urls: DataFrame, row_bound: int | None) -> DataFrame:
+def _referenced(documents: DataFrame, kind: str, urls: DataFrame, row_bound: int | None,
+                scope: Sequence[str]) -> DataFrame:
     """Documents of a kind, cut to the referenced URLs before they are decoded.
 
     Only if those are known to be few: then they are broadcast and the other
@@ -113,20 +120,20 @@ def _referenced(documents: DataFrame, kind: str, urls: DataFrame, row_bound: int
     wanted = documents.filter(F.col("kind") == kind)
     if row_bound is None or row_bound > BROADCAST_ROW_LIMIT:
         return wanted
-    return wanted.join(F.broadcast(urls), "url", "left_semi")
+    return wanted.join(F.broadcast(urls), [*scope, "url"], "left_semi")
 
 
-def _best_prices(documents: DataFrame) -> DataFrame:
+def _best_prices(documents: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     """Best offer per odds URL: chosen within each body first, then across its pages."""
-    bodies = decode(documents, "odds", schemas.ODDS_BODY).select(
-        F.col("url").alias("odds_url"), "page", "unreadable",
+    bodies = decode(documents, "odds", schemas.ODDS_BODY, scope).select(
+        *scope, F.col("url").alias("odds_url"), "page", "unreadable",
         best_offer_of_items(F.col("doc.items")).alias("best"),
     )
     rank = F.when(F.col("best").isNotNull(), F.struct("best.missing", "page", "best.index"))
     return (
-        bodies.groupBy("odds_url")
+        bodies.groupBy(*scope, "odds_url")
         .agg(F.min_by("best", rank).alias("best"), F.bool_or("unreadable").alias("odds_unreadable"))
-        .select("odds_url", "odds_unreadable", F.col("best").isNotNull().alias("has_offer"),
+        .select(*scope, "odds_url", "odds_unreadable", F.col("best").isNotNull().alias("has_offer"),
                 *(f"best.{c}" for c in w.PRICE_COLUMNS))
     )
 
@@ -137,7 +144,7 @@ def _key(reference: Column) -> Column:
 
 
 def resolve(documents: DataFrame, events: DataFrame, teams_row_bound: int | None = None,
-            events_row_bound: int | None = None) -> DataFrame:
+            events_row_bound: int | None = None, scope: Sequence[str] = ()) -> DataFrame:
     """Follow open events to teams and best prices; every one gets a disposition.
 
     The bounds are proven upper limits on the number of team documents and of
@@ -145,30 +152,34 @@ def resolve(documents: DataFrame, events: DataFrame, teams_row_bound: int | None
     """
     away, home = sides(F.col("doc.competitors"))
     competition_docs = _referenced(
-        documents, "competition", events.select(F.col("competition_url").alias("url")), events_row_bound)
-    competitions = decode(competition_docs, "competition", schemas.COMPETITION_BODY).select(
+        documents, "competition", events.select(*scope, F.col("competition_url").alias("url")),
+        events_row_bound, scope)
+    competitions = decode(competition_docs, "competition", schemas.COMPETITION_BODY, scope).select(
+        *scope,
         F.col("url").alias("competition_url"),
         F.col("unreadable").alias("competition_unreadable"),
         away["team"]["$ref"].alias("away_ref"),
         home["team"]["$ref"].alias("home_ref"),
         F.col("doc.odds")["$ref"].alias("odds_ref"),
     )
-    teams = decode(documents, "team", schemas.TEAM_BODY).filter(~F.col("unreadable")).select(
+    teams = decode(documents, "team", schemas.TEAM_BODY, scope).filter(~F.col("unreadable")).select(
+        *scope,
         F.col("url").alias("team_url"),
         F.coalesce("doc.displayName", F.lit(w.UNKNOWN_TEAM)).alias("name"),
     )
     out = (
         events.withColumn("competition_url", _key(F.col("competition_url")))
-        .join(competitions, "competition_url", "left")
+        .join(competitions, [*scope, "competition_url"], "left")
     )
-    odds_docs = _referenced(documents, "odds", out.select(F.col("odds_ref").alias("url")), events_row_bound)
+    odds_docs = _referenced(
+        documents, "odds", out.select(*scope, F.col("odds_ref").alias("url")), events_row_bound, scope)
     for role in ("away", "home"):
-        side = teams.select(F.col("team_url").alias(f"{role}_url"), F.col("name").alias(f"{role}_team"))
+        side = teams.select(*scope, F.col("team_url").alias(f"{role}_url"), F.col("name").alias(f"{role}_team"))
         out = out.withColumn(f"{role}_url", _key(F.col(f"{role}_ref"))).join(
-            small_side(side, teams_row_bound), f"{role}_url", "left"
+            small_side(side, teams_row_bound), [*scope, f"{role}_url"], "left"
         )
     out = out.withColumn("odds_url", _key(F.col("odds_ref"))).join(
-        _best_prices(odds_docs), "odds_url", "left"
+        _best_prices(odds_docs, scope), [*scope, "odds_url"], "left"
     )
     disposition = (
         F.when(F.coalesce("competition_unreadable", F.lit(True)), ERROR)
@@ -179,42 +190,43 @@ def resolve(documents: DataFrame, events: DataFrame, teams_row_bound: int | None
         .otherwise(GAME)
     )
     return out.select(
-        F.upper("sport").alias("sport"), "event_url", "event_date", "away_team", "home_team",
+        *scope, F.upper("sport").alias("sport"), "event_url", "event_date", "away_team", "home_team",
         *w.PRICE_COLUMNS, disposition.alias("disposition"),
     )
 
 
 def open_events(documents: DataFrame, zone: str, first: date | None = None,
-                last: date | None = None) -> DataFrame:
+                last: date | None = None, scope: Sequence[str] = ()) -> DataFrame:
     """Listed events dated ``first..last`` that are worth following."""
-    events = dated_events(documents, zone, first, last)
+    events = dated_events(documents, zone, first, last, scope)
     return events.filter(F.col("disposition").isNull()).drop("disposition")
 
 
 def odds_snapshot(documents: DataFrame, zone: str, first: date | None = None,
                   last: date | None = None, teams_row_bound: int | None = None,
-                  events_row_bound: int | None = None) -> DataFrame:
+                  events_row_bound: int | None = None, scope: Sequence[str] = ()) -> DataFrame:
     """One row per game dated ``first..last`` with the prices of its best provider.
 
     Events of other dates are dropped before any further hop.
     """
-    events = open_events(documents, zone, first, last)
-    games = resolve(documents, events, teams_row_bound, events_row_bound)
+    events = open_events(documents, zone, first, last, scope)
+    games = resolve(documents, events, teams_row_bound, events_row_bound, scope)
     return games.filter(F.col("disposition") == GAME).drop("disposition")
 
 
 def event_outcomes(documents: DataFrame, zone: str, first: date | None = None,
                    last: date | None = None, teams_row_bound: int | None = None,
-                   events_row_bound: int | None = None) -> DataFrame:
+                   events_row_bound: int | None = None, scope: Sequence[str] = ()) -> DataFrame:
     """Every listed event with what became of it (see the constants above).
 
     The rows that are not games are the quarantine, each with its reason.
     """
-    events = dated_events(documents, zone, first, last)
-    stopped = events.filter(F.col("disposition").isNotNull()).select("event_url", "disposition")
-    followed = resolve(
-        documents, open_events(documents, zone, first, last), teams_row_bound, events_row_bound)
-    return stopped.unionByName(followed.select("event_url", "disposition"))
+    columns = [*scope, "event_url", "disposition"]
+    events = dated_events(documents, zone, first, last, scope)
+    stopped = events.filter(F.col("disposition").isNotNull()).select(*columns)
+    followed = resolve(documents, open_events(documents, zone, first, last, scope),
+                       teams_row_bound, events_row_bound, scope)
+    return stopped.unionByName(followed.select(*columns))
 
 
 def disposition_counts(outcomes: DataFrame) -> DataFrame:

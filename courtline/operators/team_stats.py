@@ -37,10 +37,7 @@ def decode_result_set(documents: DataFrame) -> DataFrame:
 
 
 def _typed_stats(names: Sequence[str]):
-    return [
-        stat(F.col("headers"), F.col("row"), c, schemas.TEAM_STATS[c].dataType.simpleString()).alias(c)
-        for c in names
-    ]
+    return [stat(c, schemas.TEAM_STATS[c].dataType.simpleString()).alias(c) for c in names]
 
 
 def base_stats(documents: DataFrame, keys: Sequence[str] = TEAM_KEYS) -> DataFrame:
@@ -59,7 +56,7 @@ def opponent_stats(documents: DataFrame, keys: Sequence[str] = TEAM_KEYS) -> Dat
     """Opponent columns per team whose document has a row; 0 for an absent header."""
     rows = decode_result_set(documents).withColumn("row", F.get("rowSet", F.lit(0)))
     return rows.filter(F.col("row").isNotNull()).select(*keys, *(
-        stat_or_default(F.col("headers"), F.col("row"), c, 0).alias(c) for c in w.OPPONENT_COLUMNS
+        stat_or_default(c, 0).alias(c) for c in w.OPPONENT_COLUMNS
     ))
 
 
@@ -67,7 +64,7 @@ def game_log(documents: DataFrame, keys: Sequence[str] = TEAM_KEYS) -> DataFrame
     """One row per game of each game-log document."""
     rows = decode_result_set(documents).withColumn("row", F.explode("rowSet"))
     return rows.select(*keys, *(
-        stat(F.col("headers"), F.col("row"), header, type_).alias(name)
+        stat(header, type_).alias(name)
         for header, name, type_ in (
             ("Game_ID", "game_id", "long"),
             ("GAME_DATE", "game_date_text", "string"),

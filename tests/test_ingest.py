@@ -157,6 +157,24 @@ def test_pages_of_one_odds_document(spark):
     assert (row["spread"], row["total"]) == (3.0, 3.0)
 
 
+def test_many_fetches_at_once(spark):
+    """The same URLs fetched twice: every reference stays within its own fetch."""
+    fetches = []
+    for stamp, price in (("20251104_0900", 1.0), ("20251104_1800", 2.0)):
+        d = Landed()
+        d.event("x", items=[{"spread": price}])
+        d.event("y", items=[OFFER] if price == 2.0 else [])
+        fetches.append(d.frame(spark).withColumn("snapshot", F.lit(stamp)))
+    documents = fetches[0].unionByName(fetches[1])
+    for bound in (None, 10):
+        games = ingest.odds_snapshot(documents, "UTC", DAY, DAY, events_row_bound=bound, scope=["snapshot"])
+        assert sorted((r["snapshot"], r["event_url"], r["spread"]) for r in records(games)) == [
+            ("20251104_0900", "/event/x", 1.0), ("20251104_1800", "/event/x", 2.0),
+            ("20251104_1800", "/event/y", -3.5)]
+    outcomes = ingest.event_outcomes(documents, "UTC", DAY, DAY, scope=["snapshot"])
+    assert outcomes.count() == 4 and outcomes.columns[0] == "snapshot"
+
+
 def test_roles(spark):
     competitors = [
         [("away", "1"), ("home", "2")], [("home", "1"), ("away", "2")], [(None, "1"), ("home", "2")],
