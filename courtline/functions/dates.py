@@ -25,6 +25,12 @@ def local_date_of_instant(instant: Column, zone: str) -> Column:
     return F.to_date(F.convert_timezone(None, F.lit(zone), instant.cast("timestamp_ntz")))
 
 
+def event_local_date(text: Column, zone: str) -> Column:
+    """Calendar date in ``zone`` of an event time; a time without offset is taken as local already."""
+    zoneless = F.when(text.rlike(w.ZONELESS_TIME), F.substring(text, 1, 10).try_cast("date"))
+    return F.coalesce(local_date_of_instant(event_instant(text), zone), zoneless)
+
+
 def local_date_of_utc(utc: Column, zone: str) -> Column:
     """Calendar date in ``zone`` of a zone-less UTC wall-clock time."""
     return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(zone), utc))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from courtline import schemas
 from courtline import wording as w
-from courtline.functions.dates import event_instant, local_date_of_instant, local_date_of_utc, utc_window
+from courtline.functions.dates import event_local_date, local_date_of_utc, utc_window
 from courtline.operators.bounds import BROADCAST_ROW_LIMIT, small_side
 from courtline.operators.selection import best_offer_of_items
 
@@ -88,7 +88,7 @@ def dated_events(documents: DataFrame, zone: str, first: date | None = None,
         F.col("doc.competitions").isNotNull().alias("has_competitions"),
         F.get("doc.competitions", F.lit(0))["$ref"].alias("competition_url"),
     )
-    event_date = local_date_of_instant(event_instant(F.col("date_text")), zone)
+    event_date = event_local_date(F.col("date_text"), zone)
     wrong = F.lit(False)
     if first is not None:
         wrong = wrong | (F.col("event_date") < F.lit(first))

@@ -26,7 +26,9 @@ def rest_bucket(days: Column) -> Column:
 def _dated(game_log: DataFrame, order_mode: str) -> DataFrame:
     if order_mode not in ("date", "text"):
         raise ValueError(f"order_mode must be 'date' or 'text', not {order_mode!r}")
-    log = game_log.withColumn("game_date", game_date(F.col("game_date_text")))
+    log = game_log
+    if "game_date" not in game_log.columns:
+        log = game_log.withColumn("game_date", game_date(F.col("game_date_text")))
     day = F.col("game_date") if order_mode == "date" else F.col("game_date_text")
     return log.withColumn("day", F.when(F.col("game_date").isNotNull(), day))
 
@@ -59,6 +61,7 @@ def days_rest(game_log: DataFrame, keys: Sequence[str] = ("team_id",),
               order_mode: str = "date") -> DataFrame:
     """Each dated game with its days of rest and bucket; a team's first game has neither.
 
+    A log may bring its dates as a typed ``game_date`` or as ``game_date_text``.
     Games of one day are taken in ``game_id`` order.  ``order_mode='text'``
     orders days by their raw text (April before December), for results that
     equal logs sorted that way.

@@ -47,6 +47,7 @@ ODDS_COLUMNS = ["sport", "away_team", "home_team", *PRICE_COLUMNS]
 # --- date formats -----------------------------------------------------------
 GAME_DATE_FORMAT = "MMM d, yyyy"
 EVENT_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm[:ss][.SSSSSS][.SSS]XXX"
+ZONELESS_TIME = r"^\d{4}-\d{2}-\d{2}(T\d{2}:\d{2}(:\d{2}(\.\d+)?)?)?$"
 SNAPSHOT_FORMAT = "yyyyMMdd_HHmm"
 
 # --- sheet texts ------------------------------------------------------------

@@ -5,8 +5,10 @@ import random
 from datetime import date, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from courtline import wording as w
+from courtline.functions.dates import game_date
 from courtline.operators.rest import days_rest, rest_splits, rest_splits_wide
 from tests.conftest import records
 
@@ -109,6 +111,15 @@ def test_orders_differ_only_where_months_change(spark):
         days_rest(log, order_mode="other")
 
 
+def test_typed_dates(spark):
+    log = spark.createDataFrame(random_log(3), LOG)
+    typed = log.withColumn("game_date", game_date(F.col("game_date_text"))).drop("game_date_text")
+    for operator in (days_rest, rest_splits_wide):
+        as_text, as_date = operator(log), operator(typed)
+        columns = [c for c in as_date.columns if c in as_text.columns]
+        assert sorted(map(str, records(as_text.select(*columns)))) == sorted(map(str, records(as_date.select(*columns))))
+
+
 def test_missing_numbers_count_as_zero(spark):
     rows = [(1, 1, "NOV 01, 2025", "W", 90.0, 1.0), (1, 2, "NOV 02, 2025", None, None, None),
             (1, 3, "NOV 03, 2025", "W", 100.0, 4.0)]

@@ -3,7 +3,8 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from courtline.functions.dates import event_instant, game_date, local_date_of_instant, local_date_of_utc
+from courtline.functions.dates import (
+    event_instant, event_local_date, game_date, local_date_of_instant, local_date_of_utc)
 from courtline.functions.text import fill, matchup, nickname, number_text
 
 NUMBERS = [0.0, -0.0, 4.0, -3.5, 0.1, 6.7, -12.3, 110.0, 215.5, 1234567.0, -0.04, 1e22, None]
@@ -68,5 +69,9 @@ def test_local_dates_do_not_depend_on_the_session_zone(spark):
             assert local("UTC") == utc
     finally:
         spark.conf.set("spark.sql.session.timeZone", original)
+    zoneless = spark.createDataFrame(
+        [("2025-11-04T23:30",), ("2025-11-04",), ("2025-11-04T05:30Z",), ("2025-13-40",), ("4 Nov",)], "x string")
+    assert [r[0] for r in zoneless.select(event_local_date(F.col("x"), "America/Los_Angeles")).collect()] == [
+        date(2025, 11, 4), date(2025, 11, 4), date(2025, 11, 3), None, None]
     stamp = spark.sql("SELECT TIMESTAMP_NTZ '2024-01-01 04:59:59' AS x")
     assert stamp.select(local_date_of_utc(F.col("x"), "-05:00")).first()[0] == date(2023, 12, 31)
