@@ -68,3 +68,19 @@ def look_up(rows: DataFrame, table: DataFrame, key: str, values: Sequence[str],
     joined = marked.join(cold, [key, "__salt"], "left")
     return joined.select(
         *rows.columns, *(F.coalesce(F.col(n), F.col(v)).alias(v) for v, n in renamed.items()))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, most: int,
+                    id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``order``, ``label`` and ``text`` of at most ``most`` training rows, those with the smallest hashes.
+
+    Rows whose remainder is 0 are held out, null labels ignored; of several labels
+    of one id the largest counts.  Only the sample's ids, bounded by ``most``, are
+    broadcast; no text is shuffled.
+    """
+    usable = labels.select(F.col(id_column).alias("id"), F.col(label).cast("int").alias("label")).filter(
+        F.col("id").isNotNull() & F.col("label").isNotNull() & (remainder("id", modulus) != 0))
+    chosen = usable.groupBy("id").agg(F.max("label").alias("label")).withColumn(
+        "order", F.xxhash64("id")).orderBy("order", "id").limit(most)
+    texts = docs.select(F.col(id_column).alias("id"), text_or_empty(text_column).alias("text"))
+    return texts.join(F.broadcast(chosen), "id").select("order", "label", "text")
