@@ -62,10 +62,13 @@ def look_up(rows: DataFrame, table: DataFrame, key: str, values: Sequence[str],
     renamed = {v: f"__hot_{v}" for v in values}
     hot = table.filter(F.col(weight) > limit).select(
         F.col(key), *(F.col(v).alias(n) for v, n in renamed.items()), F.lit(True).alias("__hot"))
-    cold = table.filter(F.col(weight) <= limit).select(F.col(key), *values, F.lit(0).alias("__salt"))
+    # One struct as the key: with two columns Spark would deal the rows out by ``key`` alone.
+    cold = table.filter(F.col(weight) <= limit).select(
+        F.struct(F.col(key).alias("key"), F.lit(0).alias("salt")).alias("__dealt"), *values)
     marked = rows.join(F.broadcast(hot), key, "left").withColumn(
-        "__salt", F.when(F.col("__hot"), 1 + F.pmod(F.xxhash64(spread), F.lit(SALTS))).otherwise(0).cast("int"))
-    joined = marked.join(cold, [key, "__salt"], "left")
+        "__dealt", F.struct(F.col(key).alias("key"), F.when(
+            F.col("__hot"), 1 + F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")).otherwise(0).alias("salt")))
+    joined = marked.join(cold, "__dealt", "left")
     return joined.select(
         *rows.columns, *(F.coalesce(F.col(n), F.col(v)).alias(v) for v, n in renamed.items()))
 

@@ -1,6 +1,6 @@
 """Toxicity: FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
-Features are the distinct words, word pairs and pairs with one word between, hashed
+Features are the distinct words, their stems, word pairs and pairs with one word between, hashed
 to ``2**BITS`` coordinates.  Each coordinate has its own learning rate; L1 keeps
 most weights at exactly zero, so the model is a short list of (coordinate, weight)
 that every task can hold.
@@ -22,17 +22,19 @@ from courtline.llm.common import carried, labelled_sample, text_or_empty
 
 BITS = 20
 HELD_OUT = 5
+# Bytes at which longer words are also cut to a stem, so that inflected forms share a unigram.
+STEMS = (4, 5)
 
 
 @dataclass(frozen=True)
 class Training:
     """Settings of the training; ``sample_rows`` bounds the labelled rows that are used."""
 
-    sample_rows: int = 12_000
-    epochs: int = 2
-    alpha: float = 0.15
+    sample_rows: int = 16_000
+    epochs: int = 3
+    alpha: float = 0.5
     beta: float = 1.0
-    l1: float = 2.0
+    l1: float = 3.0
     l2: float = 1.0
 
 
@@ -52,6 +54,11 @@ def features(t: ta.Texts) -> tuple[np.ndarray, np.ndarray]:
     h = ta.word_hashes(data, w)
     text = ta.owner(w.bounds)
     parts, owners = [ta.mix(h)], [text]
+    for stem in STEMS:
+        longer = w.end - w.start > stem
+        cut = ta.word_hashes(data, ta.Words(w.start[longer], w.start[longer] + stem, w.bounds))
+        parts.append(ta.mix(cut + np.uint64(stem)))
+        owners.append(text[longer])
     for offsets in ((0, 1), (0, 2)):
         ok = ta.within(w.bounds, offsets[-1] + 1)
         parts.append(ta.gram_hashes(h, offsets)[ok])
