@@ -10,8 +10,55 @@ SELECT d.doc_id, g.keep_id, g.group_size,
 FROM d JOIN g ON d.text = g.text
 """
 
+OP3_HOST_REPUTATION = """
+WITH p AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)([^?#]*)', 1, 's'),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)([^?#]*)', 2, 's') AS path
+  FROM pages),
+o AS (
+  SELECT doc_id, min(CASE WHEN quality = 1 AND coalesce(toxic, 0) = 0 THEN 1 WHEN quality IS NOT NULL OR coalesce(toxic, 0) <> 0 THEN 0 END) AS good
+  FROM labels GROUP BY doc_id),
+h AS (
+  SELECT host, array_to_string(string_split(host, '.')[-2:], '.') AS domain, string_split(host, '.')[-1] AS suffix,
+         count(good) AS n, coalesce(sum(good), 0) AS good
+  FROM p LEFT JOIN o ON p.page_id = o.doc_id GROUP BY host),
+d AS (SELECT domain, any_value(suffix) AS suffix, sum(n) AS n, sum(good) AS good FROM h GROUP BY domain),
+s AS (SELECT suffix, sum(n) AS n, sum(good) AS good FROM d GROUP BY suffix),
+sums AS (
+  SELECT lvl, count(*) AS k, sum(n)::DOUBLE AS n, sum(good)::DOUBLE AS good,
+         sum(good::DOUBLE * good / n) AS squares, sum(n::DOUBLE * n) AS nn
+  FROM (SELECT 'h' AS lvl, n, good FROM h UNION ALL SELECT 'd', n, good FROM d UNION ALL SELECT 's', n, good FROM s)
+  WHERE n > 0 GROUP BY lvl),
+moments AS (
+  SELECT lvl, k, (good + 0.5) / (n + 1.0) AS mean, squares - good * good / n AS spread, n - nn / n - (k - 1) AS room FROM sums),
+priors AS (
+  SELECT lvl, mean, CASE WHEN mean * (1 - mean) * room > 0 AND spread > mean * (1 - mean) * (k - 1)
+    THEN least(1000.0, greatest(1.0, mean * (1 - mean) * room / (spread - mean * (1 - mean) * (k - 1)) - 1)) ELSE 1000.0 END AS m
+  FROM moments),
+q AS (
+  SELECT coalesce(max(mean) FILTER (lvl = 's'), 0.5) AS mean, coalesce(max(m) FILTER (lvl = 's'), 1.0) AS ms,
+         coalesce(max(m) FILTER (lvl = 'd'), 1.0) AS md, coalesce(max(m) FILTER (lvl = 'h'), 1.0) AS mh FROM priors),
+rs AS (SELECT suffix, (good + ms * mean) / (n + ms) AS rate FROM s, q),
+rd AS (SELECT d.domain, (d.good + md * rs.rate) / (d.n + md) AS rate FROM d JOIN rs USING (suffix), q),
+rh AS (SELECT h.host, h.n, (h.good + mh * rd.rate) / (h.n + mh) AS rate, mh FROM h JOIN rd USING (domain), q),
+v AS (SELECT host, CASE WHEN rate + 1.645 * sqrt(rate * (1 - rate) / (n + mh + 1)) < 0.5 THEN 'block' ELSE 'allow' END AS method FROM rh),
+r AS (
+  SELECT page_id, p.host, path, method,
+    CASE WHEN (p.host = 'www.example.com' OR suffix(p.host, '.www.example.com')) AND prefix(path, '/en/') THEN 'www.example.com/en/'
+         WHEN (p.host = 'example.com' OR suffix(p.host, '.example.com')) AND prefix(path, '/en/') THEN 'example.com/en/'
+         WHEN (p.host = 'net' OR suffix(p.host, '.net')) AND prefix(path, '/es/') THEN 'net/es/'
+         WHEN (p.host = 'net' OR suffix(p.host, '.net')) AND prefix(path, '/fr/') THEN 'net/fr/'
+         WHEN (p.host = 'com' OR suffix(p.host, '.com')) AND prefix(path, '/') THEN 'com/' END AS rule
+  FROM p JOIN v USING (host))
+SELECT page_id, host, path, rule,
+  CASE WHEN rule IS NULL THEN method WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' ELSE 'block' END AS verdict
+FROM r
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_host_reputation": OP3_HOST_REPUTATION,
         "op6_exact_dedup": OP6_EXACT_DEDUP,
     }

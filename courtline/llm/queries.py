@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtline.llm import exact_dedup, toxicity
+from courtline.llm import exact_dedup, toxicity, url_reputation
 from courtline.llm.common import remainder
+from courtline.llm.url_reputation import Rule
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +18,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+URL_RULES = (
+    Rule("allow", "com", "/"),
+    Rule("block", "example.com", "/en/"),
+    Rule("allow", "www.example.com", "/en/"),
+    Rule("block", "net", "/es/"),
+    Rule("block", "net", "/fr/"),
+)
+
+
+def op3_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_reputation.judge(pages, table(spark, sf_dir, "labels"), URL_RULES).select(
+        "page_id", "host", "path", "rule", "verdict")
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -32,6 +48,7 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_host_reputation": op3_host_reputation,
     "op5_toxicity": op5_toxicity,
     "op6_exact_dedup": op6_exact_dedup,
 }
