@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtline.llm import exact_dedup, toxicity, url_reputation
+from courtline.llm import exact_dedup, language_id, quality, toxicity, url_reputation
 from courtline.llm.common import remainder
 from courtline.llm.url_reputation import Rule
 
@@ -33,6 +33,13 @@ def op3_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language_id.profiles(docs)
+    return language_id.with_language(docs, found).select(
+        "doc_id", (remainder("doc_id", language_id.HELD_OUT) == 0).alias("held_out"), "lang_pred", "score")
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -47,8 +54,18 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    network = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.with_score(docs, network).select(
+        "doc_id", (remainder("doc_id", quality.HELD_OUT) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Query] = {
     "op3_host_reputation": op3_host_reputation,
+    "op4_language_id": op4_language_id,
     "op5_toxicity": op5_toxicity,
     "op6_exact_dedup": op6_exact_dedup,
+    "op10_quality": op10_quality,
 }
