@@ -22,7 +22,7 @@ from pyspark.sql.functions import ArrowUDFType
 from courtline.llm import text_arrays as ta
 from courtline.llm.common import remainder, text_or_empty
 
-DIMENSIONS = 1024
+DIMENSIONS = 512
 GRAM = 3
 # Symbols that letters are folded to; 0 stands for everything that is no letter.
 SYMBOLS = 64
@@ -30,7 +30,7 @@ HELD_OUT = 5
 UNKNOWN = "und"
 _SEED = 20_011
 # Texts whose vectors are made at a time.
-_AT_ONCE = 128
+_AT_ONCE = 256
 
 
 class Profiles(NamedTuple):
@@ -70,10 +70,11 @@ def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
     A run of anything but letters counts as one gap, and a gap stands before and after each text.
     """
-    joined = "\n\n".join(["", *((x or "").lower() for x in texts), ""])
+    texts = [(x or "").lower() for x in texts]
+    joined = "\n\n".join(["", *texts, ""])
     points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     symbols = _symbols()[points]
-    sizes = np.array([len((x or "").lower()) for x in texts], np.int64)
+    sizes = np.array([len(x) for x in texts], np.int64)
     text = np.repeat(np.arange(len(texts) + 1), np.concatenate(([2], sizes + 2)))[:len(symbols)]
     letters = np.bincount(text[symbols > 0] - 1, minlength=len(texts)) if len(texts) else np.zeros(0, np.int64)
     kept = np.ones(len(symbols), bool)
@@ -93,8 +94,10 @@ def bundle(codes: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
     for a in range(0, n, _AT_ONCE):
         b = min(n, a + _AT_ONCE)
         lo, hi = np.searchsorted(text, (a, b))
-        some, inverse = np.unique(codes[lo:hi], return_inverse=True)
-        counts = np.bincount((text[lo:hi] - a) * len(some) + inverse, minlength=(b - a) * len(some))
+        seen = np.bincount(codes[lo:hi], minlength=SYMBOLS ** GRAM) > 0
+        some = np.flatnonzero(seen)
+        place = np.cumsum(seen) - 1
+        counts = np.bincount((text[lo:hi] - a) * len(some) + place[codes[lo:hi]], minlength=(b - a) * len(some))
         if len(some):
             out[a:b] = counts.reshape(b - a, -1).astype(np.float32) @ gram_vectors(some)
     return out
