@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtline.llm import exact_dedup, language_id, quality, toxicity, url_reputation
+from courtline.llm import exact_dedup, language_id, quality, simhash, toxicity, url_reputation
 from courtline.llm.common import remainder
 from courtline.llm.url_reputation import Rule
 
@@ -18,6 +18,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.classes(docs).select(
+        F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("least.id").alias("component_id"))
+
+
 URL_RULES = (
     Rule("allow", "com", "/"),
     Rule("block", "example.com", "/en/"),
@@ -63,6 +70,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_simhash": op2_simhash,
     "op3_host_reputation": op3_host_reputation,
     "op4_language_id": op4_language_id,
     "op5_toxicity": op5_toxicity,
