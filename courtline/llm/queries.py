@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtline.llm import exact_dedup, language_id, quality, simhash, toxicity, url_reputation
+from courtline.llm import decontamination, exact_dedup, language_id, quality, simhash, toxicity, url_reputation
 from courtline.llm.common import remainder
 from courtline.llm.url_reputation import Rule
 
@@ -61,6 +61,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     network = quality.train(docs, table(spark, sf_dir, "labels"))
@@ -75,5 +80,6 @@ QUERIES: dict[str, Query] = {
     "op4_language_id": op4_language_id,
     "op5_toxicity": op5_toxicity,
     "op6_exact_dedup": op6_exact_dedup,
+    "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,
 }
