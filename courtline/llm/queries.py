@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtline.llm import decontamination, exact_dedup, language_id, quality, simhash, toxicity, url_reputation
+from courtline.llm import decontamination, exact_dedup, language_id, packing, quality, simhash, toxicity, url_reputation
 from courtline.llm.common import remainder
 from courtline.llm.url_reputation import Rule
 
@@ -25,6 +25,13 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("least.id").alias("component_id"))
 
 
+def tokenizer_path() -> str:
+    """The byte-level BPE file, wherever the installed package of public tokenizers keeps it."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 URL_RULES = (
     Rule("allow", "com", "/"),
     Rule("block", "example.com", "/en/"),
@@ -61,6 +68,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(packing.pieces(docs, tokenizer_path())).withColumnRenamed("id", "doc_id")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"))
@@ -80,6 +92,7 @@ QUERIES: dict[str, Query] = {
     "op4_language_id": op4_language_id,
     "op5_toxicity": op5_toxicity,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_packing": op7_packing,
     "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,
 }
