@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtline.llm import decontamination, exact_dedup, language_id, packing, quality, simhash, toxicity, url_reputation
+from courtline.llm import decontamination, exact_dedup, language_id, packing, pii, quality, simhash, toxicity, url_reputation
 from courtline.llm.common import remainder
 from courtline.llm.url_reputation import Rule
 
@@ -73,6 +73,26 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(docs, tokenizer_path())).withColumnRenamed("id", "doc_id")
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kinds = F.array(*map(F.lit, pii.KINDS))
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+            ":", F.get(kinds, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def place(s: Column) -> Column:
+        return F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
+
+    every = F.sort_array(F.concat(F.transform("base", place), F.transform("found", place)))
+    def number(k: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+
+    counts = [number(k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)]
+    return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(joined(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+                        joined(every).alias("spans"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"))
@@ -93,6 +113,7 @@ QUERIES: dict[str, Query] = {
     "op5_toxicity": op5_toxicity,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_packing": op7_packing,
+    "op8_pii": op8_pii,
     "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,
 }
