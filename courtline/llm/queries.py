@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtline.llm import decontamination, exact_dedup, language_id, packing, pii, quality, simhash, toxicity, url_reputation
+from courtline.llm import context_tree, decontamination, exact_dedup, language_id, packing, pii, quality, simhash, toxicity, url_reputation
 from courtline.llm.common import remainder
 from courtline.llm.url_reputation import Rule
 
@@ -18,6 +18,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = context_tree.score(docs.withColumn("train", context_tree.training_rows("doc_id")))
+    return scored.select(F.col("id").alias("doc_id"), (~F.col("train")).alias("held_out"), "n_tokens", "n_known",
+                         "train_tokens", "base_score", "score")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.classes(docs).select(
@@ -107,6 +114,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_context_tree": op1_context_tree,
     "op2_simhash": op2_simhash,
     "op3_host_reputation": op3_host_reputation,
     "op4_language_id": op4_language_id,
