@@ -1,9 +1,9 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-Word n-grams of the test items that are rare among the documents seed candidate
+Word n-grams of the test items that chance would rarely bring about seed candidate
 places; there the item is aligned with the document's words, so that edited and
 paraphrased copies score by what they still share in order.  All work on a text is
-done where the text is: only counts of the items' own n-grams are shuffled.
+done where the text is: only counts of the items' own words are shuffled.
 """
 
 from __future__ import annotations
@@ -35,8 +35,9 @@ class Settings:
     mismatch: float = -0.5
     gap: float = -0.5
     min_score: float = 0.45
-    # An item's rarest n-grams that serve as seeds: this share of them, and at least so many.
-    rare_share: float = 0.5
+    # An n-gram is rare, and a seed, if chance would bring it about no oftener in a document;
+    # of an item without so many, those that come nearest are seeds.
+    chance: float = 1e-3
     least_seeds: int = 8
 
 
@@ -99,18 +100,24 @@ class _Filter:
         return maybe[same], at[same]
 
 
-def rare_seeds(items: Items, frequency: np.ndarray, s: Settings) -> Items:
-    """The index cut to each item's rarest n-grams; ``frequency`` is by distinct n-gram, in order.
+def rare_seeds(items: Items, counts: np.ndarray, total: int, docs: int, s: Settings) -> Items:
+    """The index cut to rare n-grams; ``counts`` is of the items' distinct words, in order, among ``total`` of ``docs``.
 
-    Seeds are chosen by rank within the item, so every item keeps some, however
-    often its passage occurs.
+    How often chance would bring an n-gram about follows from its words' own
+    frequencies.  Its frequency as a whole would not do: copies of an item are
+    what makes its n-grams frequent.
     """
-    by_gram = frequency[np.searchsorted(np.unique(items.grams), items.grams)] if len(items.grams) else items.grams
-    order = np.lexsort((items.place, by_gram, items.item))
-    counts = np.bincount(items.item, minlength=len(items.ids))
-    rank = np.arange(len(order)) - np.repeat(np.cumsum(counts) - counts, counts)
-    quota = np.maximum(s.least_seeds, np.ceil(counts * s.rare_share))[items.item[order]]
-    chosen = np.sort(order[rank < quota])
+    if not len(items.grams):
+        return items
+    share = counts[np.searchsorted(np.unique(items.hashes), items.hashes)] / max(1, total)
+    first = items.bounds[items.item] + items.place
+    expected = np.full(len(first), total / max(1, docs))
+    for k in range(s.seed_words):
+        expected *= share[first + k]
+    order = np.lexsort((items.place, expected, items.item))
+    per_item = np.bincount(items.item, minlength=len(items.ids))
+    rank = np.arange(len(order)) - np.repeat(np.cumsum(per_item) - per_item, per_item)
+    chosen = np.sort(order[(expected[order] <= s.chance) | (rank < s.least_seeds)])
     return items._replace(grams=items.grams[chosen], item=items.item[chosen], place=items.place[chosen])
 
 
@@ -185,30 +192,31 @@ def _best(matches: list[Match]) -> list[Match]:
     return list(best.values())
 
 
-def frequencies(docs: DataFrame, items: Items, s: Settings, text_column: str = "text") -> np.ndarray:
-    """Texts that hold each distinct n-gram of the items; as many counts as the block has n-grams reach the driver."""
-    sent = docs.sparkSession.sparkContext.broadcast(np.unique(items.grams))
+def frequencies(docs: DataFrame, items: Items, text_column: str = "text") -> tuple[np.ndarray, int, int]:
+    """Occurrences of the items' distinct words among all documents, all words, and documents.
+
+    As many counts as the block of items has words reach the driver.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(np.unique(items.hashes))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = _Filter(sent.value)
-        total = np.zeros(len(index.grams), np.int64)
+        found = np.zeros(len(index.grams), np.int64)
+        total = rows = 0
         for batch in batches:
+            rows += len(batch)
             for _, t in ta.slices(batch):
-                h, bounds = _word_hashes(t)
-                grams, first = _grams(h, bounds, s.seed_words)
-                which, member = index.hits(grams)
-                text = np.searchsorted(bounds, first[which], side="right") - 1
-                total += np.bincount(np.unique(text * len(index.grams) + member) % max(1, len(index.grams)),
-                                     minlength=len(index.grams))
-        used = np.flatnonzero(total)
-        yield pa.record_batch({"gram": pa.array(used, pa.int64()), "n": pa.array(total[used])})
-
-    rows = docs.select(text_or_empty(text_column).alias("text")).mapInArrow(count, "gram long, n long").groupBy(
-        "gram").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(len(np.unique(items.grams)), np.int64)
-    for r in rows:
-        out[r.gram] = r.n
-    return out
+                h, _ = _word_hashes(t)
+                total += len(h)
+                found += np.bincount(index.hits(h)[1], minlength=len(found))
+        used = np.flatnonzero(found)
+        yield pa.record_batch({"word": pa.array([-1, -2, *used], pa.int64()), "n": pa.array([total, rows, *found[used]], pa.int64())})
+
+    sums = docs.select(text_or_empty(text_column).alias("text")).mapInArrow(count, "word long, n long").groupBy(
+        "word").agg(F.sum("n").alias("n")).collect()
+    by_word = {r.word: r.n for r in sums}
+    out = np.array([by_word.get(k, 0) for k in range(len(np.unique(items.hashes)))], np.int64)
+    return out, by_word.get(-1, 0), by_word.get(-2, 0)
 
 
 def item_blocks(benchmark: DataFrame, s: Settings, item_column: str = "item_id",
@@ -228,7 +236,7 @@ def with_matches(docs: DataFrame, benchmark: DataFrame, settings: Settings = Set
 
     Null and empty texts, and items of fewer words than a seed, match nothing;
     repeated items match each; without items every array is empty.  The documents
-    are read once to count the items' n-grams and once to align.
+    are read once to count the items' words and once to align.
     """
     kind = benchmark.schema[item_column].dataType
     result = T.ArrayType(T.StructType([
@@ -236,7 +244,7 @@ def with_matches(docs: DataFrame, benchmark: DataFrame, settings: Settings = Set
         T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     column = F.array().cast(result)
     for items in item_blocks(benchmark, settings, item_column):
-        seeds = rare_seeds(items, frequencies(docs, items, settings, text_column), settings)
+        seeds = rare_seeds(items, *frequencies(docs, items, text_column), settings)
         sent = docs.sparkSession.sparkContext.broadcast(tuple(seeds))
 
         def matches(arrays: Iterator[pa.Array], sent=sent) -> Iterator[pa.Array]:
