@@ -58,7 +58,7 @@ class Layout(NamedTuple):
 
 
 def layout(t: ta.Texts) -> Layout:
-    """Every text gets at least one block, and zeros that no filter can reach over."""
+    """Every text gets at least one block, which ends in zeros for at least the width of a filter less one."""
     sizes = np.diff(t.bounds)
     blocks = -(-(sizes + WIDTH - 1) // BLOCK)
     first = np.concatenate(([0], np.cumsum(blocks)))
@@ -69,8 +69,13 @@ def layout(t: ta.Texts) -> Layout:
 
 
 def block_maxima(x: Layout, net: Network, places: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
-    """Largest response of each filter in each block, and where it is."""
+    """Largest response of each filter in each block, and where it is.
+
+    Places from which a filter would reach into the next text hold only padding and do not count.
+    """
     n = int(x.first[-1])
+    closing = np.zeros(n, bool)
+    closing[x.first[1:] - 1] = True
     best = np.empty((n, FILTERS), np.float32)
     at = np.empty((n, FILTERS), np.int64) if places else None
     for a in range(0, n, _AT_ONCE):
@@ -81,6 +86,7 @@ def block_maxima(x: Layout, net: Network, places: bool = False) -> tuple[np.ndar
         for k in range(1, WIDTH):
             response += net.filters[k].take(piece[k:k + size], axis=0)
         response = response.reshape(b - a, BLOCK, FILTERS)
+        response[closing[a:b], BLOCK - WIDTH + 1:] = -np.inf
         if at is None:
             best[a:b] = response.max(axis=1)
         else:
@@ -187,6 +193,8 @@ def train(docs: DataFrame, labels: DataFrame, settings: Training = Training(), l
 
     parts = sample.repartition(1).sortWithinPartitions("order").mapInArrow(
         fit, "part long, values binary").collect()
+    if not parts:
+        return fit_network([], settings)
     shapes = [(WIDTH, 256, FILTERS), (FILTERS,), (2 * FILTERS,), (1,)]
     values = {r.part: np.frombuffer(r["values"], np.float32) for r in parts}
     return Network(*(values[i].reshape(shape) for i, shape in enumerate(shapes)))
