@@ -119,6 +119,8 @@ def train(docs: DataFrame, labels: DataFrame, settings: Training = Training(), l
 
     fitted = encoded.repartition(1).sortWithinPartitions("order").mapInArrow(
         fit, "coordinate int, weight double").collect()
+    if not fitted:
+        return ftrl([], settings)
     found = sorted((r.coordinate, r.weight) for r in fitted)
     return Model(np.array([c for c, _ in found[1:]], np.int32), np.array([w for _, w in found[1:]], np.float32),
                  found[0][1])
