@@ -211,8 +211,8 @@ def spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     good = good_patterns(rows, settings)
     places = rows.select("row_key", F.explode("others").alias("s")).select(
         "row_key", "s.start", "s.end", "s.value", F.explode(_contexts(F.col("s.left"), F.col("s.right"))).alias("pattern"))
-    hits = look_up(places, good, "pattern", ["kind", "share"], "n", max(1, rows.count()), F.col("row_key")).filter(
-        "kind is not null")
+    total = good.agg(F.sum("n")).first()[0] or 1
+    hits = look_up(places, good, "pattern", ["kind", "share"], "n", total, F.col("row_key")).filter("kind is not null")
     best = hits.groupBy("row_key", "start", "end", "value").agg(F.max(F.struct("share", -F.col("kind"))).alias("b"))
     found = best.groupBy("row_key").agg(F.sort_array(F.collect_list(F.struct(
         (-F.col("b.col2")).alias("kind"), "start", "end", "value"))).alias("found"))
