@@ -1,0 +1,151 @@
+import math
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from courtline.llm import context_tree
+from courtline.llm import text_arrays as ta
+from courtline.llm.context_tree import DEPTH, log_kt, pairs, score, tokens
+
+
+def coded(text):
+    data = bytes(c + 32 if 65 <= c <= 90 else c for c in (text or "").encode())
+    words, word = [], b""
+    for c in data + b" ":
+        if c in b" \t\n\x0b\x0c\r":
+            words += [word] if word else []
+            word = b""
+        else:
+            word += bytes([c])
+    return words, b"".join(w + b" " for w in words) + b"\n"
+
+
+class Brute:
+    """One context tree for each bit place, by plain recursion."""
+
+    def __init__(self, texts, depth=DEPTH):
+        self.depth, self.counts = depth, defaultdict(lambda: [0, 0])
+        self.children = defaultdict(set)
+        for x in texts:
+            for context, byte in self.steps(x):
+                for l in range(8):
+                    place = (l, byte >> (8 - l))
+                    for d in range(depth + 1):
+                        self.counts[context[:d], place][byte >> (7 - l) & 1] += 1
+                        if d < depth:
+                            self.children[context[:d], place].add(context[:d + 1])
+        self.cache = {}
+
+    def steps(self, text):
+        data = b"\n" * self.depth + coded(text)[1]
+        for i in range(self.depth, len(data)):
+            yield data[i - self.depth:i][::-1], data[i]
+
+    def weighted(self, context, place):
+        """Log KT and log weighted probability of a node."""
+        key = context, place
+        if key not in self.cache:
+            a, b = self.counts[key]
+            kt = math.lgamma(a + .5) + math.lgamma(b + .5) - math.lgamma(a + b + 1) - math.log(math.pi)
+            if len(context) == self.depth:
+                self.cache[key] = kt, kt
+            else:
+                below = sum(self.weighted(c, place)[1] for c in self.children[key])
+                top = max(kt, below)
+                self.cache[key] = kt, math.log(.5) + top + math.log(math.exp(kt - top) + math.exp(below - top))
+        return self.cache[key]
+
+    def bit(self, context, place, bit):
+        p = None
+        for d in range(self.depth, -1, -1):
+            key = context[:d], place
+            if key not in self.counts:
+                continue
+            n = self.counts[key]
+            estimate = (n[bit] + .5) / (sum(n) + 1)
+            if p is None:
+                p = estimate
+            else:
+                kt, weighted = self.weighted(*key)
+                own = math.exp(kt + math.log(.5) - weighted)
+                p = own * estimate + (1 - own) * p
+        return .5 if p is None else p
+
+    def score(self, text):
+        return sum(math.log10(self.bit(c, (l, byte >> (8 - l)), byte >> (7 - l) & 1)) for c, byte in self.steps(text) for l in range(8))
+
+
+def corpus(n=60, seed=8):
+    rng = random.Random(seed)
+    words = ["The", "river", "stone", "an", "été", "Ñu", "a", "walks", "e", "of"]
+    rows = [(i, " ".join(rng.choice(words) + rng.choice(["", "", ".", ","]) for _ in range(rng.randrange(0, 25)))) for i in range(n)]
+    return [*rows, (1000, None), (1001, ""), (1002, "  \t\n"), (1003, "ZZZ unseen qq"), (None, "the end"), (3, "again")]
+
+
+def test_tokens_and_pairs():
+    t = tokens(ta.texts(pa.array(["Ab  c", None, "D"])))
+    assert bytes(t.data) == b"ab c \n\nd \n" and t.bounds.tolist() == [0, 6, 7, 10]
+    got = [int(x).to_bytes(DEPTH + 1, "big") for x in pairs(t)]
+    assert got[0] == b"\n" * DEPTH + b"a" and got[2] == b"ba" + b"\n" * (DEPTH - 2) + b" " and got[7] == b"\n" * DEPTH + b"d"
+
+
+def test_log_kt():
+    assert np.allclose(log_kt(np.array([0, 1, 0, 3, 10**6]), np.array([0, 0, 1, 2, 5])), [
+        0, math.log(.5), math.log(.5), math.log(3 / 256),
+        math.lgamma(10**6 + .5) + math.lgamma(5.5) - math.lgamma(10**6 + 6) - math.log(math.pi)])
+
+
+@pytest.mark.parametrize("block, fan_in", [(32 * 2**20, 64), (200, 2)])
+def test_scores_against_brute_force(docs, monkeypatch, block, fan_in):
+    monkeypatch.setattr(context_tree, "_FAN_IN", fan_in)
+    rows = corpus()
+    held = lambda i: i is None or i % 4 == 0
+    model = Brute([x for i, x in rows if not held(i)])
+    counts = Counter(w for i, x in rows if not held(i) for w in [*coded(x)[0], "END"])
+    total, known = sum(counts.values()), len(counts)
+    want = []
+    for i, x in rows:
+        words = [*coded(x)[0], "END"]
+        base = sum(math.log10((counts[w] + 1) / (total + known + 1)) for w in words)
+        want.append((i, not held(i), len(words), sum(counts[w] > 0 for w in words), total, round(base, 6), round(model.score(x), 6)))
+    d = docs(rows).withColumn("train", F.when(F.col("doc_id").isNotNull(), F.col("doc_id") % 4 != 0))
+    got = [(r.id, r.train, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6))
+           for r in score(d, block_bytes=block).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_next_bytes_sum_to_one():
+    model = Brute([x for _, x in corpus()])
+    keys = tokens(ta.texts(pa.array([x for _, x in corpus()])))
+    k, n = context_tree.distinct(pairs(keys))
+    levels = context_tree.grow(k, n)
+    rows = [(int(node >> l >> 8), (1 << l) | int(node & ((1 << l) - 1)), int(z), int(o), float(w))
+            for l, level in enumerate(levels[2]) for node, z, o, w in zip(level.nodes, level.zeros, level.ones, level.weighted, strict=True)]
+    sums = defaultdict(lambda: [0, 0, 0.0])
+    for byte, place, z, o, w in rows:
+        for j, v in enumerate((z, o, w)):
+            sums[byte, place][j] += v
+    top = context_tree.top_nodes([(*key, *v) for key, v in sums.items()])
+    for context in (b"\n" * DEPTH, b"eht" + b"\n" * (DEPTH - 3), b"zzzzz"[:DEPTH], b"e" + b"q" * (DEPTH - 1)):
+        asked = np.sort(np.array([int.from_bytes(context + bytes([b]), "big") for b in range(256)], np.int64))
+        got = context_tree.mix(levels, asked, top)
+        assert abs((10 ** got).sum() - 1) < 1e-9
+        want = [sum(math.log10(model.bit(context, (l, b >> (8 - l)), b >> (7 - l) & 1)) for l in range(8)) for b in range(256)]
+        assert np.allclose(got, want)
+
+
+def test_no_training_rows_and_empty_table(docs):
+    rows = score(docs([(1, "ab"), (2, None)]).withColumn("train", F.lit(False))).collect()
+    assert {(r.id, r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in rows} == {(1, 2, 0, 0, 0.0), (2, 1, 0, 0, 0.0)}
+    assert all(abs(r.score - n * 8 * math.log10(.5)) < 1e-9 for r, n in zip(sorted(rows), (4, 1), strict=True))
+    assert score(docs([]).withColumn("train", F.lit(True))).collect() == []
+
+
+def test_long_texts(docs):
+    text = "Wort " * 60_000
+    rows = score(docs([(1, text), (2, text + "x")]).withColumn("train", F.lit(True))).collect()
+    assert {r.n_tokens for r in rows} == {60_001, 60_002} and all(-3000 < r.score < 0 for r in rows)

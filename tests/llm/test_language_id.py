@@ -1,0 +1,73 @@
+import random
+import zlib
+
+import numpy as np
+
+from courtline.llm import language_id
+from courtline.llm.language_id import DIMENSIONS, SYMBOLS, bundle, gram_vectors, grams, letter_vectors, profiles, with_language
+
+SYLLABLES = {"aa": ["ba", "lo", "mi", "té"], "bb": ["str", "ung", "keit", "öß"], "cc": ["ción", "ña", "que", "ll"]}
+
+
+def corpus(n=150):
+    rng = random.Random(5)
+    rows, langs = [], {}
+    for i in range(n):
+        lang = sorted(SYLLABLES)[i % 3]
+        rows.append((i, " ".join("".join(rng.choice(SYLLABLES[lang]) for _ in range(rng.randrange(1, 4))) for _ in range(rng.randrange(1, 60))).title()))
+        langs[i] = lang
+    return rows, langs
+
+
+def brute_vector(text):
+    symbols = [int(language_id._symbols()[ord(c)]) for c in "\n" + (text or "").lower() + "\n"]
+    packed = [s for k, s in enumerate(symbols) if s or k == 0 or symbols[k - 1]]
+    letters = letter_vectors()[2]  # the last place is not rotated
+    out = np.zeros(DIMENSIONS)
+    for k in range(1, len(packed) - 1):
+        if packed[k]:
+            out += np.roll(letters[packed[k - 1]], 2) * np.roll(letters[packed[k]], 1) * letters[packed[k + 1]]
+    return out
+
+
+def test_vectors_against_plain_loops():
+    texts = ["Hello, wörld!", "", None, "a", "12 3", "ÀÉ  ñ--ß", "x" * 3000, "aB aB"]
+    codes, text, letters = grams(texts)
+    got = bundle(codes, text, len(texts))
+    for k, x in enumerate(texts):
+        assert (got[k] == brute_vector(x)).all(), x
+    assert letters.tolist() == [sum(c.isalpha() for c in (x or "").lower()) for x in texts]
+    assert codes.max() < SYMBOLS ** 3 and set(np.unique(gram_vectors(codes))) == {-1.0, 1.0}
+
+
+def test_held_out_texts_get_their_language(docs):
+    rows, langs = corpus()
+    d = docs(rows, langs)
+    found = profiles(d)
+    assert found.names == ["aa", "bb", "cc"] and np.allclose(np.linalg.norm(found.vectors, axis=1), 1)
+    for r in with_language(d, found).collect():
+        if zlib.crc32(str(r.doc_id).encode()) % 5 == 0:
+            assert r.lang_pred == langs[r.doc_id] and 0 < r.score <= 1
+
+
+def test_only_the_training_rows_with_a_language_are_learned(docs):
+    rows, langs = corpus(60)
+    a = profiles(docs(rows, langs))
+    wrong = {i: "zz" if zlib.crc32(str(i).encode()) % 5 == 0 else x for i, x in langs.items()}
+    b = profiles(docs([*rows, (1000, "new text")], wrong))
+    assert a.names == b.names and np.array_equal(a.vectors, b.vectors)
+
+
+def test_no_letters_nulls_and_long_texts(docs):
+    rows, langs = corpus(60)
+    found = profiles(docs(rows, langs))
+    got = with_language(docs([(1, None), (2, ""), (3, "12 %% 3"), (4, "öß " * 60_000), (None, "ción"), (4, "漢字")]), found).collect()
+    assert [(r.lang_pred, r.score) for r in got[:3]] == [("und", 0.0)] * 3
+    assert got[3].lang_pred == "bb" and got[4].lang_pred == "cc" and got[5].lang_pred in found.names
+
+
+def test_nothing_learned_and_empty_tables(docs):
+    none = profiles(docs([(1, "text")]))
+    assert none.names == []
+    assert [(r.lang_pred, r.score) for r in with_language(docs([(1, "text")]), none).collect()] == [("und", 0.0)]
+    assert with_language(docs([]), none).collect() == []
