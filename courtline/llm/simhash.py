@@ -31,8 +31,13 @@ from courtline.llm.components import components
 
 BITS = 64
 RADIUS = 4
-# Variants that one group of the shuffle makes and sorts, on average.
-GROUP_VARIANTS = 8_000_000
+# Groups of the shuffle: at least 2**6, and so many that a group makes at most so many variants,
+# and gets at most so many fingerprints, on average.
+LEAST_RANK = 6
+GROUP_VARIANTS = 128_000_000
+GROUP_FINGERPRINTS = 16_000_000
+# Variants that a group holds and sorts at a time.
+SORTED_TOGETHER = 4_000_000
 
 
 def shingle_hashes(t: ta.Texts, width: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -125,6 +130,42 @@ def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
     return root
 
 
+def _meetings(fp: np.ndarray, kind: np.ndarray, code: Code) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of places in ``fp`` whose variants in this group meet, as a forest for each part of the variants.
+
+    ``kind`` is each fingerprint's list of masks.  The variants are worked off in
+    parts by a hash, so that only one part is held and sorted at a time.
+    """
+    sizes = np.diff(code.starts)
+    passes = 1 << max(0, ceil(log2(max(1, sizes[kind].sum() / SORTED_TOGETHER))))
+    shift = np.uint64(64 - passes.bit_length() + 1)
+    members = [(np.flatnonzero(kind == k), code.masks[code.starts[k]:code.starts[k + 1]]) for k in np.unique(kind)]
+    found_a, found_b = [], []
+    for part in range(passes):
+        made, maker = [], []
+        for some, masks in members:
+            for at in range(0, len(some), 100_000):
+                rows = some[at:at + 100_000]
+                v = (fp[rows][:, None] ^ masks[None, :]).reshape(-1)
+                who = np.repeat(rows.astype(np.int32), len(masks))
+                if passes > 1:
+                    mine = (v * np.uint64(0x9E3779B97F4A7C15)) >> shift == part
+                    v, who = v[mine], who[mine]
+                made.append(v)
+                maker.append(who)
+        made, maker = np.concatenate(made), np.concatenate(maker)
+        order = np.argsort(made, kind="stable")
+        made = made[order]
+        same = np.flatnonzero(made[1:] == made[:-1])
+        a, b = maker[order[same]].astype(np.int64), maker[order[same + 1]].astype(np.int64)
+        pairs = np.unique(np.minimum(a, b) * len(fp) + np.maximum(a, b))
+        root = _forest(pairs // len(fp), pairs % len(fp), len(fp))
+        child = np.flatnonzero(root != np.arange(len(fp)))
+        found_a.append(child)
+        found_b.append(root[child])
+    return np.concatenate(found_a), np.concatenate(found_b)
+
+
 def links(distinct: DataFrame, n: int, radius: int = RADIUS, bits: int = BITS) -> DataFrame:
     """Links (u, v) between the ``n`` distinct fingerprints of column ``fp``, enough to connect all within ``radius``.
 
@@ -136,7 +177,8 @@ def links(distinct: DataFrame, n: int, radius: int = RADIUS, bits: int = BITS) -
         raise ValueError("the radius must be even")
     half = radius // 2
     variants = sum(comb(bits, k) for k in range(half + 1))
-    rank = max(3, ceil(log2(max(1, n * variants / GROUP_VARIANTS))))
+    groups = n * variants / (GROUP_VARIANTS if n <= GROUP_FINGERPRINTS else GROUP_FINGERPRINTS)
+    rank = max(LEAST_RANK, ceil(log2(max(1, groups))))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = Code(rank, half, bits)
@@ -149,19 +191,8 @@ def links(distinct: DataFrame, n: int, radius: int = RADIUS, bits: int = BITS) -
     def meet(key: tuple, table: pa.Table) -> pa.Table:
         code = Code(rank, half, bits)
         fp = np.sort(table.column("fp").to_numpy().view(np.uint64))
-        kind = np.searchsorted(code.syndromes, code.syndrome(fp) ^ key[0].as_py())
-        made, maker = [], []
-        for k in np.unique(kind):
-            some = np.flatnonzero(kind == k)
-            masks = code.masks[code.starts[k]:code.starts[k + 1]]
-            made.append((fp[some][:, None] ^ masks[None, :]).reshape(-1))
-            maker.append(np.repeat(some.astype(np.int32), len(masks)))
-        made, maker = np.concatenate(made), np.concatenate(maker)
-        order = np.argsort(made, kind="stable")
-        same = made[order[1:]] == made[order[:-1]]
-        a, b = maker[order[:-1]][same].astype(np.int64), maker[order[1:]][same].astype(np.int64)
-        pairs = np.unique(np.minimum(a, b) * len(fp) + np.maximum(a, b))
-        root = _forest(pairs // len(fp), pairs % len(fp), len(fp))
+        a, b = _meetings(fp, np.searchsorted(code.syndromes, code.syndrome(fp) ^ key[0].as_py()), code)
+        root = _forest(a, b, len(fp))
         child = np.flatnonzero(root != np.arange(len(fp)))
         return pa.table({"u": pa.array(fp[child].view(np.int64)), "v": pa.array(fp[root[child]].view(np.int64))})
 
