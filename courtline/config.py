@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 
 @dataclass(frozen=True)
 class Term:
-    """One weighted input of a composite score: ``column * scale * weight``.
+    """One weighted input of a composite score: ``column * scale * weight``, a published statistic or a rating.
 
     ``complement`` scores ``1 - column`` instead (used for shares allowed).
     """
@@ -25,20 +25,20 @@ class Term:
 @dataclass(frozen=True)
 class RatingConfig:
     offensive: tuple[Term, ...] = (
-        Term("pts_per_game", 0.4),
-        Term("fg_pct", 0.3, scale=100.0),
-        Term("fg3_pct", 0.15, scale=100.0),
-        Term("assists", 0.15, scale=2.0),
+        Term("PTS", 0.4),
+        Term("FG_PCT", 0.3, scale=100.0),
+        Term("FG3_PCT", 0.15, scale=100.0),
+        Term("AST", 0.15, scale=2.0),
     )
     defensive_base: float = 100.0
     defensive: tuple[Term, ...] = (
-        Term("opp_pts_per_game", -0.4),
-        Term("opp_fg_pct", 0.4, scale=100.0, complement=True),
-        Term("opp_turnovers", 0.2, scale=3.0),
+        Term("OPP_PTS", -0.4),
+        Term("OPP_FG_PCT", 0.4, scale=100.0, complement=True),
+        Term("OPP_TOV", 0.2, scale=3.0),
     )
     power: tuple[Term, ...] = (
-        Term("win_pct", 0.25, scale=100.0),
-        Term("plus_minus", 0.2, scale=2.0),
+        Term("W_PCT", 0.25, scale=100.0),
+        Term("PLUS_MINUS", 0.2, scale=2.0),
         Term("offensive_rating", 0.3),
         Term("defensive_rating", 0.25),
     )

@@ -44,7 +44,7 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def best_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return selection.best_offer(tpch.odds_offers(spark, sf_dir), KEY, tpch.OFFER_ORDER)
+    return selection.best_offer(tpch.odds_offers(spark, sf_dir), KEY, tpch.OFFER_ORDER, tpch.offer_position())
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +80,7 @@ def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_header_rowset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return team_stats.game_log(tpch.log_documents(spark, sf_dir), ("TEAM_ID",))
+    return team_stats.game_log(tpch.log_documents(spark, sf_dir), ("TEAM_ID",)).drop("log_position")
 
 
 def json_row_map(spark: SparkSession, sf_dir: str) -> DataFrame:

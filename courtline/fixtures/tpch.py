@@ -7,8 +7,6 @@ only bring the numbers into a realistic range.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,9 +33,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-@lru_cache(maxsize=64)
 def row_count(spark: SparkSession, sf_dir: str, name: str) -> int:
-    """Rows of a table, from its file footers; looked up once per session."""
+    """Rows of a table as it is now, from its file footers."""
     return table(spark, sf_dir, name).count()
 
 
@@ -103,7 +100,6 @@ def team_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
             _mean(F.col("open")).alias("OPP_FG_PCT"),
             _mean_cents("quantity").alias("AST"),
             (_mean(F.col("line_numbers")) * 4).alias("OPP_TOV"),
-            *(F.lit(None).cast("double").alias(c) for c in ("REB", "TOV", "REST_1_W_PCT", "REST_1_PTS")),
         )
     )
 
@@ -122,6 +118,12 @@ def offer_prices() -> dict[str, Column]:
 OFFER_ORDER = ["l_linenumber", "l_partkey", "l_suppkey"]
 
 
+def offer_position() -> Column:
+    """``OFFER_ORDER`` as one whole number; keys have at most 12 digits."""
+    line, part, supplier = (F.col(c).cast("decimal(12,0)") for c in OFFER_ORDER)
+    return (line * 10 ** 12 + part).cast("decimal(24,0)") * 10 ** 12 + supplier
+
+
 def odds_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per offer; offers of a game are ordered by ``OFFER_ORDER``."""
     return table(spark, sf_dir, "lineitem").select(
@@ -240,10 +242,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         prices["total"].alias("overUnder"),
         F.struct(prices["away_moneyline"].alias("moneyLine")).alias("awayTeamOdds"),
         F.struct(prices["home_moneyline"].alias("moneyLine")).alias("homeTeamOdds"))
-    line, part, supplier = (F.col(c).cast("decimal(12,0)") for c in OFFER_ORDER)
-    ordinal = (line * 10 ** 12 + part).cast("decimal(24,0)") * 10 ** 12 + supplier
     offer_pages = table(spark, sf_dir, "lineitem").select(*_page(
-        "odds", _url("odds", F.col("l_orderkey")), ordinal, F.struct(F.array(offer).alias("items"))))
+        "odds", _url("odds", F.col("l_orderkey")), offer_position(), F.struct(F.array(offer).alias("items"))))
 
     pages = lists
     for part_docs in (event_docs, competition_docs, team_docs, empty_pages, offer_pages):

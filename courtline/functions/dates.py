@@ -22,7 +22,10 @@ def event_instant(text: Column) -> Column:
 
 def local_date_of_instant(instant: Column, zone: str) -> Column:
     """Calendar date of an instant in ``zone``, whatever the session zone is."""
-    return F.to_date(F.convert_timezone(None, F.lit(zone), instant.cast("timestamp_ntz")))
+    # The UTC wall clock by arithmetic: through the session's own clock a repeated hour would be ambiguous.
+    seconds = (F.unix_micros(instant).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+    utc = F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+    return local_date_of_utc(utc, zone)
 
 
 def event_local_date(text: Column, zone: str) -> Column:

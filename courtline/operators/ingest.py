@@ -14,14 +14,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from courtline import schemas
 from courtline import wording as w
 from courtline.functions.dates import event_local_date, local_date_of_utc, utc_window
-from courtline.operators.bounds import BROADCAST_ROW_LIMIT, small_side
-from courtline.operators.selection import best_offer_of_items
+from courtline.operators.bounds import fits, small_side
+from courtline.operators.selection import best_offer_of_items, fixed_rank
 
 GAME = "game"
 NO_COMPETITION = "no_competition"
@@ -30,6 +30,9 @@ WRONG_DATE = "wrong_date"
 NO_ODDS = "no_odds"
 ERROR = "error"
 
+# Offers of one odds body that are told apart when two pages' best ones are as complete.
+_BODY_OFFERS = 10 ** 6
+
 
 def decode(documents: DataFrame, kind: str, body: str, scope: Sequence[str] = ()) -> DataFrame:
     """Documents of one kind with their decoded body and whether it was unreadable.
@@ -70,7 +73,19 @@ def listed_events(documents: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     lists = decode(documents, "events", schemas.EVENT_LIST_BODY, scope)
     return lists.select(*scope, "sport", F.explode("doc.items").alias("item")).select(
         *scope, "sport", F.col("item")["$ref"].alias("event_url")
-    )
+    ).distinct()
+
+
+def _one_each(decoded: DataFrame, keys: Sequence[str], apart: bool = False) -> DataFrame:
+    """One row for each URL, should a fetch have landed twice: a readable one, if any.
+
+    The join that follows has the same keys, so this adds no shuffle of its own;
+    where the other side may have hot keys, ``apart`` keeps the join's own shuffle,
+    which can be split.
+    """
+    others = [c for c in decoded.columns if c not in keys]
+    window = Window.partitionBy(F.struct(*keys) if apart else keys).orderBy(*others)
+    return decoded.withColumn("copy", F.row_number().over(window)).filter("copy = 1").drop("copy")
 
 
 def dated_events(documents: DataFrame, zone: str, first: date | None = None,
@@ -102,7 +117,7 @@ def dated_events(documents: DataFrame, zone: str, first: date | None = None,
         .when(wrong, WRONG_DATE)
     )
     return (
-        listed_events(documents, scope).join(events, [*scope, "event_url"], "left")
+        listed_events(documents, scope).join(_one_each(events, [*scope, "event_url"]), [*scope, "event_url"], "left")
         .withColumn("event_date", event_date)
         .withColumn("disposition", disposition)
         .select(*scope, "sport", "event_url", "event_date", "competition_url", "disposition")
@@ -118,7 +133,7 @@ def _referenced(documents: DataFrame, kind: str, urls: DataFrame, row_bound: int
     cut down to a few numbers first, which is cheaper than shuffling raw bodies.
     """
     wanted = documents.filter(F.col("kind") == kind)
-    if row_bound is None or row_bound > BROADCAST_ROW_LIMIT:
+    if not fits(urls, row_bound):
         return wanted
     return wanted.join(F.broadcast(urls), [*scope, "url"], "left_semi")
 
@@ -129,13 +144,12 @@ def _best_prices(documents: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
         *scope, F.col("url").alias("odds_url"), "page", "unreadable",
         best_offer_of_items(F.col("doc.items")).alias("best"),
     )
-    rank = F.when(F.col("best").isNotNull(), F.struct("best.missing", "page", "best.index"))
-    return (
-        bodies.groupBy(*scope, "odds_url")
-        .agg(F.min_by("best", rank).alias("best"), F.bool_or("unreadable").alias("odds_unreadable"))
-        .select(*scope, "odds_url", "odds_unreadable", F.col("best").isNotNull().alias("has_offer"),
-                *(f"best.{c}" for c in w.PRICE_COLUMNS))
-    )
+    index = F.least(F.col("best.index"), F.lit(_BODY_OFFERS - 1))
+    position = F.col("page").cast("decimal(30,0)") * _BODY_OFFERS + index
+    rank = F.when(F.col("best").isNotNull(), fixed_rank(F.col("best.missing"), position))
+    return bodies.groupBy(*scope, "odds_url").agg(
+        F.bool_or("unreadable").alias("odds_unreadable"), F.bool_or(F.col("best").isNotNull()).alias("has_offer"),
+        *(F.min_by(F.col("best")[c], rank).alias(c) for c in w.PRICE_COLUMNS))
 
 
 def _key(reference: Column) -> Column:
@@ -144,8 +158,8 @@ def _key(reference: Column) -> Column:
 
 
 def resolve(documents: DataFrame, events: DataFrame, teams_row_bound: int | None = None,
-            events_row_bound: int | None = None, scope: Sequence[str] = ()) -> DataFrame:
-    """Follow open events to teams and best prices; every one gets a disposition.
+            events_row_bound: int | None = None, scope: Sequence[str] = (), keep: Sequence[str] = ()) -> DataFrame:
+    """Follow open events to teams and best prices; every one gets a disposition.  ``keep`` names further columns of theirs.
 
     The bounds are proven upper limits on the number of team documents and of
     ``events``, if known; small ones save shuffles and decoding.
@@ -167,9 +181,10 @@ def resolve(documents: DataFrame, events: DataFrame, teams_row_bound: int | None
         F.col("url").alias("team_url"),
         F.coalesce("doc.displayName", F.lit(w.UNKNOWN_TEAM)).alias("name"),
     )
+    teams = _one_each(teams, [*scope, "team_url"], apart=True)
     out = (
         events.withColumn("competition_url", _key(F.col("competition_url")))
-        .join(competitions, [*scope, "competition_url"], "left")
+        .join(_one_each(competitions, [*scope, "competition_url"]), [*scope, "competition_url"], "left")
     )
     odds_docs = _referenced(
         documents, "odds", out.select(*scope, F.col("odds_ref").alias("url")), events_row_bound, scope)
@@ -191,7 +206,7 @@ def resolve(documents: DataFrame, events: DataFrame, teams_row_bound: int | None
     )
     return out.select(
         *scope, F.upper("sport").alias("sport"), "event_url", "event_date", "away_team", "home_team",
-        *w.PRICE_COLUMNS, disposition.alias("disposition"),
+        *w.PRICE_COLUMNS, disposition.alias("disposition"), *keep,
     )
 
 
@@ -221,12 +236,11 @@ def event_outcomes(documents: DataFrame, zone: str, first: date | None = None,
 
     The rows that are not games are the quarantine, each with its reason.
     """
-    columns = [*scope, "event_url", "disposition"]
-    events = dated_events(documents, zone, first, last, scope)
-    stopped = events.filter(F.col("disposition").isNotNull()).select(*columns)
-    followed = resolve(documents, open_events(documents, zone, first, last, scope),
-                       teams_row_bound, events_row_bound, scope)
-    return stopped.unionByName(followed.select(*columns))
+    events = dated_events(documents, zone, first, last, scope).withColumnRenamed("disposition", "stopped")
+    # Events that stop here go along without a reference, which matches nothing.
+    open_ = events.withColumn("competition_url", F.when(F.col("stopped").isNull(), F.col("competition_url")))
+    followed = resolve(documents, open_, teams_row_bound, events_row_bound, scope, keep=("stopped",))
+    return followed.select(*scope, "event_url", F.coalesce("stopped", "disposition").alias("disposition"))
 
 
 def disposition_counts(outcomes: DataFrame) -> DataFrame:

@@ -16,8 +16,8 @@ CARRIED = {
     "power_rating": "power_rating",
     "offensive_rating": "offensive",
     "defensive_rating": "defensive",
-    "pts_per_game": "avg_pts",
-    "opp_pts_per_game": "avg_opp_pts",
+    "PTS": "avg_pts",
+    "OPP_PTS": "avg_opp_pts",
 }
 
 

@@ -9,22 +9,8 @@ from pyspark.sql import functions as F
 
 from courtline.config import RatingConfig, Term
 
-# Published statistic -> name used by the rating terms.
-RATING_INPUTS = {
-    "PTS": "pts_per_game",
-    "OPP_PTS": "opp_pts_per_game",
-    "W_PCT": "win_pct",
-    "PLUS_MINUS": "plus_minus",
-    "FG_PCT": "fg_pct",
-    "FG3_PCT": "fg3_pct",
-    "OPP_FG_PCT": "opp_fg_pct",
-    "REB": "rebounds",
-    "AST": "assists",
-    "TOV": "turnovers",
-    "OPP_TOV": "opp_turnovers",
-    "REST_1_W_PCT": "rest_1_win_pct",
-    "REST_1_PTS": "rest_1_pts",
-}
+# Carried along for the predicted totals, whatever the terms use.
+CARRIED = ("PTS", "OPP_PTS")
 
 
 def composite(terms: Sequence[Term], base: float | None = None) -> Column:
@@ -45,12 +31,12 @@ def power_rating(team_stats: DataFrame, cfg: RatingConfig = RatingConfig(),
 
     ``scope`` names extra key columns to carry, such as sport and season.
     """
-    inputs = team_stats.select(
-        *scope, "TEAM_NAME", *(F.col(old).alias(new) for old, new in RATING_INPUTS.items())
-    )
-    sides = inputs.withColumns({
-        "offensive_rating": composite(cfg.offensive),
-        "defensive_rating": composite(cfg.defensive, cfg.defensive_base),
+    made = ("offensive_rating", "defensive_rating")
+    terms = (*cfg.offensive, *cfg.defensive, *cfg.power)
+    inputs = dict.fromkeys(t.column for t in terms if t.column not in made)
+    sides = team_stats.select(*scope, "TEAM_NAME", *dict.fromkeys((*inputs, *CARRIED))).withColumns({
+        made[0]: composite(cfg.offensive),
+        made[1]: composite(cfg.defensive, cfg.defensive_base),
     })
     return sides.withColumn("power_rating", composite(cfg.power))
 

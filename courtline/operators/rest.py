@@ -9,6 +9,7 @@ of -1 and count, like every other gap outside 0..3, as ``4+``.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,6 +24,19 @@ def rest_bucket(days: Column) -> Column:
     return F.when(days.isin(0, 1, 2, 3), days.cast("string")).when(days.isNotNull(), "4+")
 
 
+def _game_rank(log: DataFrame) -> Column:
+    """What orders the games of a day, as one whole number: the id, missing ones last, then the place in the log.
+
+    A log without ``game_id`` or ``log_position`` is ordered by the rest; games that
+    still tie are told apart by what counts in the splits, so it does not matter which is first.
+    """
+    last = F.lit(2 ** 63 - 1)
+    id_ = F.coalesce(F.col("game_id").cast("long"), last) if "game_id" in log.columns else last
+    content = F.shiftrightunsigned(F.xxhash64("wl", "pts", "plus_minus"), 1)
+    place = F.coalesce(F.col("log_position").cast("long"), content) if "log_position" in log.columns else content
+    return (id_.cast("decimal(19,0)") * F.lit(Decimal(10 ** 19))).cast("decimal(38,0)") + place.cast("decimal(19,0)")
+
+
 def _dated(game_log: DataFrame, order_mode: str) -> DataFrame:
     if order_mode not in ("date", "text"):
         raise ValueError(f"order_mode must be 'date' or 'text', not {order_mode!r}")
@@ -30,7 +44,10 @@ def _dated(game_log: DataFrame, order_mode: str) -> DataFrame:
     if "game_date" not in game_log.columns:
         log = game_log.withColumn("game_date", game_date(F.col("game_date_text")))
     day = F.col("game_date") if order_mode == "date" else F.col("game_date_text")
-    return log.withColumn("day", F.when(F.col("game_date").isNotNull(), day))
+    return log.withColumns({
+        "day": F.when(F.col("game_date").isNotNull(), day),
+        "game_rank": _game_rank(log).cast("decimal(38,0)"),
+    })
 
 
 def _game_days(dated: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -44,14 +61,14 @@ def _game_days(dated: DataFrame, keys: Sequence[str]) -> DataFrame:
     plus_minus = F.coalesce("plus_minus", F.lit(0.0))
     days = dated.groupBy(*keys, "day").agg(
         F.min("game_date").alias("game_date"),
-        F.min("game_id").alias("first_game_id"),
+        F.min("game_rank").alias("first_rank"),
         F.count(F.lit(1)).alias("gp"),
         F.sum(win).alias("w"),
         F.sum(pts).alias("pts"),
         F.sum(plus_minus).alias("plus_minus"),
-        F.min_by(win, "game_id").alias("first_w"),
-        F.min_by(pts, "game_id").alias("first_pts"),
-        F.min_by(plus_minus, "game_id").alias("first_plus_minus"),
+        F.min_by(win, "game_rank").alias("first_w"),
+        F.min_by(pts, "game_rank").alias("first_pts"),
+        F.min_by(plus_minus, "game_rank").alias("first_plus_minus"),
     )
     previous = F.lag("game_date").over(Window.partitionBy(*keys).orderBy(F.asc_nulls_first("day")))
     return days.withColumn("rest", F.date_diff("game_date", previous) - 1)
@@ -62,18 +79,23 @@ def days_rest(game_log: DataFrame, keys: Sequence[str] = ("team_id",),
     """Each dated game with its days of rest and bucket; a team's first game has neither.
 
     A log may bring its dates as a typed ``game_date`` or as ``game_date_text``.
-    Games of one day are taken in ``game_id`` order.  ``order_mode='text'``
+    Games of one day are taken in ``game_id`` order, then by their place in the
+    log; neither need be there.  ``order_mode='text'``
     orders days by their raw text (April before December), for results that
     equal logs sorted that way.
     """
     dated = _dated(game_log, order_mode)
-    days = _game_days(dated, keys).select(*keys, "day", "first_game_id", F.col("rest").alias("day_rest"))
-    first = F.col("game_id") == F.col("first_game_id")
+    first = _game_days(dated, keys).select(
+        *keys, "day", F.col("first_rank").alias("game_rank"), F.col("rest").alias("day_rest"), F.lit(True).alias("leads"))
+    # Joined on the rank too, so a hot team or day spreads over all tasks; of games that tie, one is the first.
+    ranks = [*keys, "day", "game_rank"]
+    turn = F.row_number().over(Window.partitionBy(*ranks).orderBy("game_rank"))
     return (
-        dated.join(days, [*keys, "day"])
-        .withColumn("days_rest", F.when(first, F.col("day_rest")).otherwise(F.lit(-1)))
+        dated.filter(F.col("day").isNotNull()).join(first, ranks, "left")
+        .withColumn("turn", turn)
+        .withColumn("days_rest", F.when(F.col("leads") & (F.col("turn") == 1), F.col("day_rest")).otherwise(F.lit(-1)))
         .withColumn("rest_bucket", rest_bucket(F.col("days_rest")))
-        .drop("day", "day_rest", "first_game_id")
+        .drop("day", "day_rest", "game_rank", "leads", "turn")
     )
 
 

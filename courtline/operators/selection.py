@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from datetime import date, timedelta
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -12,11 +13,11 @@ from pyspark.sql import types as T
 
 from courtline import wording as w
 from courtline.functions.odds import filled_fields
+from courtline.operators.bounds import small_side
 
-# Groups whose extreme may be turned into literal filters.
-MAX_LITERAL_GROUPS = 64
-
-_SMALL_INTEGERS = (T.ByteType, T.ShortType, T.IntegerType)
+_INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+# Positions lie below this in size; one more digit in front holds what decides first.
+_POSITIONS = Decimal(10 ** 36)
 
 
 def completeness() -> Column:
@@ -24,22 +25,35 @@ def completeness() -> Column:
     return filled_fields(*(F.col(c) for c in w.PRICE_COLUMNS))
 
 
-def best_offer(offers: DataFrame, keys: Sequence[str] = ("event_id",),
-               order: Sequence[str] = ("pos",)) -> DataFrame:
-    """The most complete offer per key; the first in ``order`` among equals.
+def fixed_rank(first: Column, position: Column) -> Column:
+    """A fixed-width rank by ``first`` (0..9), then by a whole number; a missing one comes last.
+
+    Such a rank, unlike a struct, can be kept in a hash aggregation's buffer.
+    """
+    placed = F.coalesce(position.cast("decimal(37,0)"), F.lit(_POSITIONS).cast("decimal(37,0)"))
+    return (first.cast("decimal(1,0)") * F.lit(10 * _POSITIONS).cast("decimal(38,0)") + placed).cast("decimal(38,0)")
+
+
+def best_offer(offers: DataFrame, keys: Sequence[str] = ("event_id",), order: Sequence[str] = ("pos",),
+               position: Column | None = None) -> DataFrame:
+    """The most complete offer per key; the first in ``order`` among equals, missing positions last.
 
     An offer without any price still wins if it is the only one.  This is one
     aggregation with map-side combine, so a key with very many offers sends one
-    row per task.  A single int ``order`` column is packed with the completeness
-    into one long, which keeps every buffer fixed-width (hash aggregation);
-    otherwise a struct is compared.
+    row per task.  With one whole-number ``order`` column, or a whole number
+    ``position`` that orders offers as ``order`` does, every buffer is fixed-width
+    and nothing is sorted; otherwise structs are compared, by the same rule.
     """
     ranked = offers.withColumn("n_fields", completeness())
+    missing = F.lit(len(w.PRICE_COLUMNS)) - F.col("n_fields")
     picked = [*w.PRICE_COLUMNS, "n_fields", *order]
-    if len(order) == 1 and isinstance(offers.schema[order[0]].dataType, _SMALL_INTEGERS):
-        rank = F.col(order[0]).cast("long") - F.shiftleft(F.col("n_fields").cast("long"), 40)
+    if position is None and len(order) == 1 and isinstance(offers.schema[order[0]].dataType, _INTEGERS):
+        position = F.col(order[0])
+    if position is not None:
+        rank = fixed_rank(missing, position)
         return ranked.groupBy(*keys).agg(*(F.min_by(c, rank).alias(c) for c in picked))
-    best = F.min_by(F.struct(*picked), F.struct(-F.col("n_fields"), *order))
+    last = [c for o in order for c in (F.col(o).isNull(), F.col(o))]
+    best = F.min_by(F.struct(*picked), F.struct(missing, *last))
     return ranked.groupBy(*keys).agg(best.alias("best")).select(*keys, "best.*")
 
 
@@ -63,37 +77,20 @@ def best_offer_of_items(items: Column) -> Column:
     return F.array_min(F.transform(items, entry))
 
 
-def _exact_text(column: Column, type_: T.DataType) -> Column:
-    return F.unix_micros(column).cast("string") if isinstance(type_, T.TimestampType) else column.cast("string")
-
-
-def _exact_literal(text: str | None, type_: T.DataType) -> Column:
-    if text is not None and isinstance(type_, T.TimestampType):
-        return F.timestamp_micros(F.lit(int(text)))
-    return F.lit(text).cast(type_)
-
-
-def keep_extreme(df: DataFrame, by: Sequence[str], column: str,
-                 extreme: Callable[[Column], Column]) -> DataFrame:
-    """Rows whose ``column`` equals its extreme within their group.
+def keep_extreme(df: DataFrame, by: Sequence[str], column: str, extreme: Callable[[Column], Column],
+                 extremes: DataFrame | None = None) -> DataFrame:
+    """Rows whose ``column`` equals its extreme within their group; null is a group like any other.
 
-    The extremes are one row per group.  Up to ``MAX_LITERAL_GROUPS`` of them
-    become literal filters, so the second read prunes partitions and nothing of
-    the table is shuffled; this runs one small aggregation when called.  More
-    groups than that are matched by a semi join on group and value.
+    The extremes are one row per group, matched by a null-safe semi join, whatever
+    their number.  They are counted, and broadcast if they are proven small, so
+    that the table itself need not be shuffled.  ``extremes``, if they are known
+    already (as from a listing of partitions), save the first pass over the table.
     """
-    types = {c: df.schema[c].dataType for c in (*by, column)}
-    extremes = df.filter(F.col(column).isNotNull()).groupBy(*by).agg(extreme(F.col(column)).alias(column))
-    as_text = [_exact_text(F.col(c), t).alias(c) for c, t in types.items()]
-    rows = extremes.select(*as_text).take(MAX_LITERAL_GROUPS + 1)
-    if len(rows) > MAX_LITERAL_GROUPS:
-        return df.join(extremes, [*by, column], "left_semi")
-
-    def is_group(row) -> Column:
-        tests = [F.col(c).eqNullSafe(_exact_literal(row[c], t)) for c, t in types.items()]
-        return reduce(lambda a, b: a & b, tests)
-
-    return df.filter(reduce(lambda a, b: a | b, map(is_group, rows), F.lit(False)))
+    if extremes is None:
+        extremes = df.filter(F.col(column).isNotNull()).groupBy(*by).agg(extreme(F.col(column)).alias(column))
+    found = extremes.select(*(F.col(c).alias(f"__{c}") for c in (*by, column)))
+    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"__{c}")) for c in (*by, column)))
+    return df.join(small_side(found, found.count()), same, "left_semi")
 
 
 def latest_snapshot(snapshots: DataFrame, by: Sequence[str] = ("sport",),

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courtline import schemas
 from courtline import wording as w
-from courtline.functions.stats_json import stat, stat_or_default
+from courtline.functions.stats_json import place, stat, stat_or_default
 
 TEAM_KEYS = ("TEAM_ID", "TEAM_NAME")
 
@@ -36,8 +36,13 @@ def decode_result_set(documents: DataFrame) -> DataFrame:
     )
 
 
-def _typed_stats(names: Sequence[str]):
-    return [stat(c, schemas.TEAM_STATS[c].dataType.simpleString()).alias(c) for c in names]
+def _with_places(documents: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Decoded documents with the index of each header, looked up once a document."""
+    return decode_result_set(documents).withColumns({f"at {c}": place(c, F.col("headers")) for c in names})
+
+
+def _stats(names: Sequence[str]) -> list[Column]:
+    return [stat(F.col(f"at {c}"), F.col("row"), schemas.TEAM_STATS[c].dataType.simpleString()).alias(c) for c in names]
 
 
 def base_stats(documents: DataFrame, keys: Sequence[str] = TEAM_KEYS) -> DataFrame:
@@ -45,34 +50,35 @@ def base_stats(documents: DataFrame, keys: Sequence[str] = TEAM_KEYS) -> DataFra
 
     ``has_stats`` is false for a readable document without rows.
     """
-    rows = decode_result_set(documents).withColumn("row", F.get("rowSet", F.lit(0)))
-    return rows.select(
-        *keys, *_typed_stats(w.RECORD_COLUMNS + w.OFFENCE_COLUMNS),
-        F.col("row").isNotNull().alias("has_stats"),
-    )
+    names = w.RECORD_COLUMNS + w.OFFENCE_COLUMNS
+    rows = _with_places(documents, names).withColumn("row", F.get("rowSet", F.lit(0)))
+    return rows.select(*keys, *_stats(names), F.col("row").isNotNull().alias("has_stats"))
 
 
 def opponent_stats(documents: DataFrame, keys: Sequence[str] = TEAM_KEYS) -> DataFrame:
     """Opponent columns per team whose document has a row; 0 for an absent header."""
-    rows = decode_result_set(documents).withColumn("row", F.get("rowSet", F.lit(0)))
+    rows = _with_places(documents, w.OPPONENT_COLUMNS).withColumn("row", F.get("rowSet", F.lit(0)))
     return rows.filter(F.col("row").isNotNull()).select(*keys, *(
-        stat_or_default(c, 0).alias(c) for c in w.OPPONENT_COLUMNS
+        stat_or_default(F.col(f"at {c}"), F.col("row"), 0).alias(c) for c in w.OPPONENT_COLUMNS
     ))
 
 
+LOG_COLUMNS = (
+    ("Game_ID", "game_id", "long"),
+    ("GAME_DATE", "game_date_text", "string"),
+    ("WL", "wl", "string"),
+    ("PTS", "pts", "double"),
+    ("PLUS_MINUS", "plus_minus", "double"),
+)
+
+
 def game_log(documents: DataFrame, keys: Sequence[str] = TEAM_KEYS) -> DataFrame:
-    """One row per game of each game-log document."""
-    rows = decode_result_set(documents).withColumn("row", F.explode("rowSet"))
-    return rows.select(*keys, *(
-        stat(header, type_).alias(name)
-        for header, name, type_ in (
-            ("Game_ID", "game_id", "long"),
-            ("GAME_DATE", "game_date_text", "string"),
-            ("WL", "wl", "string"),
-            ("PTS", "pts", "double"),
-            ("PLUS_MINUS", "plus_minus", "double"),
-        )
-    ))
+    """One row per game of each game-log document; ``log_position`` is its place there."""
+    found = _with_places(documents, [header for header, _, _ in LOG_COLUMNS])
+    places = [f"at {header}" for header, _, _ in LOG_COLUMNS]
+    rows = found.select(*keys, *(F.col(c) for c in places), F.posexplode("rowSet").alias("log_position", "row"))
+    return rows.select(*keys, "log_position", *(
+        stat(F.col(f"at {header}"), F.col("row"), type_).alias(name) for header, name, type_ in LOG_COLUMNS))
 
 
 def assemble(base: DataFrame, opponent: DataFrame, rest: DataFrame,
@@ -111,14 +117,16 @@ def union_stats(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def preview(team_stats: DataFrame, n: int = 10) -> DataFrame:
-    """First ``n`` teams by name with a few headline columns, as far as present."""
-    wanted = ["TEAM_NAME", "W_PCT", "PTS"]
-    if "OPP_PTS" in team_stats.columns:
-        wanted += ["OPP_PTS", "PLUS_MINUS"]
-    if "REST_0_W_PCT" in team_stats.columns:
-        wanted += ["REST_0_W_PCT", "REST_2_W_PCT"]
-    return team_stats.select(*wanted).orderBy("TEAM_NAME").limit(n)
+PREVIEW_COLUMNS = ("TEAM_NAME", "W_PCT", "PTS", "OPP_PTS", "PLUS_MINUS", "REST_0_W_PCT", "REST_2_W_PCT")
+# A column that is shown only with another one.
+_SHOWN_WITH = {"PLUS_MINUS": "OPP_PTS", "REST_2_W_PCT": "REST_0_W_PCT"}
+
+
+def preview(team_stats: DataFrame, n: int = 10, columns: Sequence[str] = PREVIEW_COLUMNS) -> DataFrame:
+    """First ``n`` teams by name, with those of ``columns`` that are there."""
+    present = set(team_stats.columns)
+    shown = [c for c in columns if {c, _SHOWN_WITH.get(c, c)} <= present]
+    return team_stats.orderBy("TEAM_NAME").limit(n).select(*shown)
 
 
 def row_counts(**frames: DataFrame) -> DataFrame:

@@ -10,11 +10,15 @@ from pyspark.sql.types import StructType
 from courtline import schemas
 from courtline import wording as w
 
-_SNAPSHOT_NAME = r"([A-Za-z]+)_odds_(\d{8}_\d{4})\.csv"
+_SNAPSHOT_NAME = r"([^/]+)_odds_(\d{8}_\d{4})\.csv"
 
 
-def _read(spark: SparkSession, path: str, format_: str, schema: StructType) -> DataFrame:
-    reader = spark.read.schema(schema)
+_ODDS_TABLE = (StructType(list(schemas.ODDS.fields)).add("snapshot_ts", "timestamp_ntz")
+               .add("snapshot_date", "date").add("snapshot", "string"))
+
+
+def _read(spark: SparkSession, path: str, format_: str, schema: StructType | None) -> DataFrame:
+    reader = spark.read.schema(schema) if schema else spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
     if format_ == "csv":
         reader = reader.option("header", True).option("enforceSchema", False)
     try:
@@ -101,12 +105,31 @@ def read_latest_odds(spark: SparkSession, data_dir: str, sport: str = "nba") ->
 def read_odds_table(spark: SparkSession, path: str) -> DataFrame:
     """The partitioned odds table of :func:`courtline.sources.writers.write_odds_snapshot`.
 
-    Its ``snapshot`` is a partition column: ``latest_snapshot(table, ts="snapshot")``
-    reads the newest partitions only.
+    It is partitioned by sport, date and snapshot; :func:`read_newest_odds` reads the
+    newest partitions only.
+    """
+    return _read(spark, path, "parquet", _ODDS_TABLE)
+
+
+def newest_partitions(spark: SparkSession, path: str) -> DataFrame:
+    """``sport``, newest ``snapshot`` and its ``folder``, from the listing of the table; no file is opened."""
+    files = _read(spark, path, "binaryFile", None).select("path")
+    folder = F.regexp_extract("path", r"^(.*)/[^/]*$", 1)
+    part = {c: F.url_decode(F.regexp_extract("path", f"/{c}=([^/]*)/", 1)) for c in ("sport", "snapshot")}
+    return files.select(part["sport"].alias("sport"), part["snapshot"].alias("snapshot"), folder.alias("folder")).filter(
+        "snapshot <> ''").groupBy("sport").agg(
+        F.max("snapshot").alias("snapshot"), F.max_by("folder", "snapshot").alias("folder"))
+
+
+def read_newest_odds(spark: SparkSession, path: str) -> DataFrame:
+    """The newest snapshot of each sport from the partitioned odds table; other partitions are not read.
+
+    One folder name for each sport reaches the driver, which lists the table anyway.
     """
-    schema = (StructType(list(schemas.ODDS.fields)).add("snapshot_ts", "timestamp_ntz")
-              .add("snapshot_date", "date").add("snapshot", "string"))
-    return _read(spark, path, "parquet", schema)
+    folders = [r.folder for r in newest_partitions(spark, path).collect()]
+    if not folders:
+        return spark.createDataFrame([], _ODDS_TABLE)
+    return spark.read.schema(_ODDS_TABLE).option("basePath", path).parquet(*folders)
 
 
 def read_ponderations(spark: SparkSession, path: str, format_: str = "csv") -> DataFrame:

@@ -131,3 +131,31 @@ def test_wide_form_reuses_the_window_grouping(spark):
     plan = rest_splits_wide(spark.createDataFrame(random_log(1), LOG))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2
     assert "SortAggregate" not in plan
+
+
+@pytest.mark.parametrize("kind", ["absent", "repeated", "null"])
+def test_games_without_ids_of_their_own(spark, kind):
+    """The first game of a day is picked exactly once, and both forms agree game by game."""
+    rows = random_log(11)
+    place = {row: k for k, row in enumerate(rows)}
+    log = spark.createDataFrame([(*row, place[row]) for row in rows], LOG + ", log_position long")
+    if kind == "absent":
+        log = log.drop("game_id")
+    else:
+        log = log.withColumn("game_id", F.lit(5 if kind == "repeated" else None).cast("long"))
+    # The loop takes the log order within a day.
+    by_place = [(t, place[r], d, *rest) for r in rows for t, _, d, *rest in [r]]
+    found, expected = loop(by_place, "date"), splits(by_place, "date")
+    got = {r["log_position"]: (r["days_rest"], r["rest_bucket"]) for r in records(days_rest(log))}
+    assert got == found
+    long = {(r["team_id"], r["rest_bucket"]): r for r in records(rest_splits(log))}
+    assert long.keys() == expected.keys() and all(same(long[k], expected[k]) for k in expected)
+
+
+def test_a_log_without_ids_and_places_picks_one_first_game_a_day(spark):
+    rows = [(1, "NOV 01, 2025", "W", 90.0, 1.0)] * 3 + [(1, "NOV 04, 2025", "L", 80.0, -1.0)] * 2
+    log = spark.createDataFrame(rows, "team_id long, game_date_text string, wl string, pts double, plus_minus double")
+    got = sorted((r["game_date_text"], str(r["days_rest"])) for r in records(days_rest(log)))
+    assert got == [("NOV 01, 2025", "-1"), ("NOV 01, 2025", "-1"), ("NOV 01, 2025", "None"),
+                   ("NOV 04, 2025", "-1"), ("NOV 04, 2025", "2")]
+    assert {r["rest_bucket"]: (r["GP"], r["W"]) for r in records(rest_splits(log))} == {"2": (1, 0), "4+": (3, 2)}

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from courtline import schemas
 from courtline import wording as w
-from courtline.operators.selection import (
-    MAX_LITERAL_GROUPS, best_offer, best_offer_of_items, latest_snapshot, next_game_day)
+from courtline.sources import readers
+from courtline.operators.selection import best_offer, best_offer_of_items, latest_snapshot, next_game_day
 from tests.conftest import records
 
 OFFER = "event_id long, pos int, spread double, away_moneyline double, home_moneyline double, total double"
@@ -39,7 +39,7 @@ def brute_best(rows):
 
 @pytest.mark.parametrize("position_type", ["int", "long"])
 def test_best_offer(spark, position_type):
-    """Both ways of ranking: packed into one long, and by struct."""
+    """Whatever the type of the position."""
     rows = random_offers(1)
     offers = spark.createDataFrame(rows, OFFER).withColumn("pos", F.col("pos").cast(position_type)).repartition(7)
     got = {r["event_id"]: (r["event_id"], r["pos"], *(r[c] for c in w.PRICE_COLUMNS))
@@ -83,16 +83,14 @@ def test_best_offer_of_items(spark):
 
 
 @pytest.mark.parametrize("type_", ["timestamp", "timestamp_ntz", "date", "string"])
-@pytest.mark.parametrize("groups", [3, MAX_LITERAL_GROUPS + 5])
+@pytest.mark.parametrize("groups", [3, 200])
 def test_latest_snapshot(spark, type_, groups):
-    """As literal filters, and as a semi join when there are many groups."""
+    """The group null is one like any other, however many there are."""
     rng = random.Random(groups)
     rows = [(f"s{g}" if g else None, str(datetime(2025, 11, rng.randrange(1, 6), rng.randrange(0, 3), 30)), n)
             for g in range(groups) for n in range(4)]
     if type_ == "date":
         rows = [(s, t[:10], n) for s, t, n in rows]
-    if groups > MAX_LITERAL_GROUPS:
-        rows = [r for r in rows if r[0] is not None]
     df = spark.createDataFrame(rows, "sport string, t string, n int").withColumn("snapshot_ts", F.col("t").cast(type_))
     newest = {}
     for sport, t, _ in rows:
@@ -106,16 +104,26 @@ def test_latest_snapshot_of_nothing(spark):
     assert latest_snapshot(empty).count() == 0
 
 
-def test_latest_snapshot_reads_only_the_newest_partitions(spark, tmp_path):
+def test_missing_positions_are_last_for_every_type(spark):
+    rows = [(1, None, 1.0, None, None, None), (2, None, 1.0, None, None, None), (2, 7, 2.0, None, None, None),
+            (3, None, None, None, None, None)]
+    expected = [(1, None, 1.0, 1), (2, 7, 2.0, 1), (3, None, None, 0)]
+    for type_ in ("int", "long", "decimal(20,0)"):
+        offers = spark.createDataFrame(rows, OFFER).withColumn("pos", F.col("pos").cast(type_))
+        got = sorted((r["event_id"], r["pos"] and int(r["pos"]), r["spread"], r["n_fields"]) for r in records(best_offer(offers)))
+        assert got == expected
+
+
+def test_newest_odds_reads_only_the_newest_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
-    spark.createDataFrame([("nba", "20251108", 1), ("nba", "20251109", 2), ("nfl", "20251107", 3)],
-                          "sport string, snapshot string, n int").write.partitionBy("sport", "snapshot").parquet(path)
-    table = spark.read.schema("n int, sport string, snapshot string").parquet(path)
-    newest = latest_snapshot(table, ts="snapshot")
-    assert sorted(r["n"] for r in records(newest)) == [2, 3]
-    assert len(newest.inputFiles()) <= 3
-    plan = newest._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "20251109" in plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    rows = [("nba", "20251108_1200", 1.0), ("nba", "20251109_1200", 2.0), ("n fl/x", "20251107_0900", 3.0)]
+    frame = spark.createDataFrame(rows, "sport string, snapshot string, spread double").withColumn("snapshot_date", F.lit(date(2025, 11, 9)))
+    frame.write.partitionBy("sport", "snapshot_date", "snapshot").parquet(path)
+    newest = readers.read_newest_odds(spark, path)
+    assert sorted((r["sport"], r["spread"]) for r in records(newest)) == [("n fl/x", 3.0), ("nba", 2.0)]
+    assert len(newest.inputFiles()) == 2
+    plan = readers.newest_partitions(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "binaryFile" in plan and "ReadSchema: struct<path:string>" in plan
 
 
 def test_next_game_day(spark):

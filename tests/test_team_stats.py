@@ -89,8 +89,8 @@ def test_empty_bucket_is_zero_but_no_log_is_null(wide):
 def test_game_log_rows(spark):
     docs = frame(spark, {1: result_set(LOG[:5], [1, 7, "NOV 04, 2025", None, 110.5], [1, 8, "", "L"])})
     assert records(team_stats.game_log(docs, ["TEAM_ID"]).orderBy("game_id")) == [
-        dict(TEAM_ID=1, game_id=7, game_date_text="NOV 04, 2025", wl=None, pts=110.5, plus_minus=None),
-        dict(TEAM_ID=1, game_id=8, game_date_text="", wl="L", pts=None, plus_minus=None),
+        dict(TEAM_ID=1, log_position=0, game_id=7, game_date_text="NOV 04, 2025", wl=None, pts=110.5, plus_minus=None),
+        dict(TEAM_ID=1, log_position=1, game_id=8, game_date_text="", wl="L", pts=None, plus_minus=None),
     ]
 
 
@@ -101,6 +101,15 @@ def test_row_map(spark):
                                "h array<string>, r array<string>")
     assert [r[0] for r in df.select(row_map(F.col("h"), F.col("r"))).collect()] == [
         {"a": "1", "b": "2"}, {"a": "1"}, {"a": "1"}]
+    odd = spark.createDataFrame([(["a", None, "a", "b"], ["1", "2", "3", None]), ([], ["1"]), (None, ["1"])],
+                                "h array<string>, r array<string>")
+    assert [r[0] for r in odd.select(row_map(F.col("h"), F.col("r"))).collect()] == [{"a": "3", "b": None}, {}, {}]
+
+
+def test_last_of_equal_headers_and_numbers_with_decimals(spark):
+    docs = frame(spark, {1: result_set(["GP", "W", "W", "PTS"], ["12.0", 3, "7.0", "x"])})
+    [row] = records(team_stats.base_stats(docs, ["TEAM_ID"]))
+    assert (row["GP"], row["W"], row["L"], row["PTS"]) == (12, 7, None, None)
 
 
 def test_union_conform_and_preview(spark):

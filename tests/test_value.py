@@ -53,7 +53,7 @@ def test_missing_input_gives_no_rating(spark):
 
 
 def test_weights_are_configurable(spark):
-    cfg = RatingConfig(power=(Term("win_pct", 1.0, scale=100.0),))
+    cfg = RatingConfig(power=(Term("W_PCT", 1.0, scale=100.0),))
     [row] = records(power_rating(stats(spark, dict(TEAM_NAME="A", W_PCT=0.6)), cfg))
     assert row["power_rating"] == 60.0
 
