@@ -10,6 +10,7 @@ functions.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -69,7 +70,7 @@ def _valid(kind: str, value: Column) -> Column:
     if kind == "ip":
         def small(part: Column) -> Column:
             short = F.ltrim(part, F.lit("0"))
-            return (F.length(short) <= 3) & (F.coalesce(F.when(F.length(short) <= 3, short).cast("int"), F.lit(0)) <= 255)
+            return (F.length(short) <= 3) & (F.coalesce(short.try_cast("int"), F.lit(0)) <= 255)
         return F.forall(F.split(value, r"\."), small)
     if kind == "card":
         return F.length(digits).between(13, 19) & luhn(F.when(F.length(digits).between(13, 19), digits).otherwise("0"))
@@ -78,22 +79,34 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often ``body`` or its own lambdas name it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _add(a: Column, b: Column) -> Column:
+    return a + b
+
+
 def _starts(parts: Column, found: Column) -> Column:
     """Start of each match, given the texts between the matches and the matches themselves.
 
     Sums of lengths up to a match, by blocks, so that a text with very many
     matches costs little more than one with few.
     """
-    n = F.size(found)
+    def by_blocks(blocks: Column) -> Column:
+        sums = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), _add))
+        before = _let(sums, lambda s: F.transform(s, lambda _, i: F.aggregate(F.slice(s, F.lit(1), i), F.lit(0), _add)))
+        return _let(before, lambda start: F.flatten(F.transform(blocks, lambda b, k: F.transform(
+            b, lambda _, i: F.get(start, k) + F.aggregate(F.slice(b, F.lit(1), i), F.lit(0), _add)))))
+
+    def cut(sizes: Column) -> Column:
+        last = F.floor((F.size(sizes) - 1) / _BLOCK).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(sizes, k * _BLOCK + 1, _BLOCK))
+
     sizes = F.transform(found, lambda m, i: F.length(m) + F.length(F.get(parts, i)))
-    blocks = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((n - 1) / _BLOCK).cast("int"))),
-                         lambda b: F.slice(sizes, b * _BLOCK + 1, _BLOCK))
-    add = lambda a, b: a + b
-    sums = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), add))
-    before = F.transform(sums, lambda _, i: F.aggregate(F.slice(sums, F.lit(1), i), F.lit(0), add))
-    inside = F.flatten(F.transform(blocks, lambda b, k: F.transform(
-        b, lambda _, i: F.get(before, k) + F.aggregate(F.slice(b, F.lit(1), i), F.lit(0), add))))
-    return F.transform(inside, lambda s, i: s + F.length(F.get(parts, i)))
+    ends = _let(sizes, lambda x: _let(cut(x), by_blocks))
+    return F.transform(ends, lambda s, i: s + F.length(F.get(parts, i)))
 
 
 def _left(part: Column) -> Column:
@@ -107,16 +120,20 @@ def _right(part: Column) -> Column:
 def _matches(rows: DataFrame, name: str, form: str, needed: str | None) -> DataFrame:
     """Adds the array ``name`` of ``start``, ``end``, ``value`` and the words on either side of a form's matches."""
     here = F.col("text").contains(needed) if needed else F.lit(True)
-    here = here & F.col("has_any")
-    none = F.array().cast("array<string>")
-    rows = rows.withColumn("__found", F.when(here, F.regexp_extract_all("text", F.lit(form), F.lit(0))).otherwise(none))
-    rows = rows.withColumn("__parts", F.when(F.size("__found") > 0, F.split("text", form, -1)).otherwise(none))
-    rows = rows.withColumn("__starts", F.when(F.size("__found") > 0, _starts(F.col("__parts"), F.col("__found")))
-                           .otherwise(F.array().cast("array<int>")))
-    span = F.transform("__found", lambda m, i: F.struct(
-        F.get("__starts", i).alias("start"), (F.get("__starts", i) + F.length(m)).alias("end"), m.alias("value"),
-        _left(F.get("__parts", i)).alias("left"), _right(F.get("__parts", i + 1)).alias("right")))
-    return rows.withColumn(name, span).drop("__found", "__parts", "__starts")
+    none = F.array().cast("array<struct<start:int,end:int,value:string,left:string,right:string>>")
+
+    def located(found: Column, parts: Column, starts: Column) -> Column:
+        return F.transform(found, lambda m, i: F.struct(
+            F.get(starts, i).alias("start"), (F.get(starts, i) + F.length(m)).alias("end"), m.alias("value"),
+            _left(F.get(parts, i)).alias("left"), _right(F.get(parts, i + 1)).alias("right")))
+
+    def split(found: Column) -> Column:
+        return _let(F.split("text", form, -1), lambda parts: _let(
+            _starts(parts, found), lambda starts: located(found, parts, starts)))
+
+    matches = _let(F.regexp_extract_all("text", F.lit(form), F.lit(0)),
+                   lambda found: F.when(F.size(found) > 0, split(found)).otherwise(none))
+    return rows.withColumn(name, F.when(here & F.col("has_any"), matches).otherwise(none))
 
 
 def _tested(k: int, kind: str) -> Column:

@@ -54,7 +54,9 @@ def test_fixed_forms_against_the_plain_patterns(docs):
 
 def test_very_long_texts(docs):
     rows = [(1, "1 2 3 " * 20_000), (2, "8" * 120_000), (3, "b" * 120_000), (4, "10.0.0.1 a@b.cd " * 4_000), (5, "+" * 50_000)]
-    assert found(spans(docs(rows))) == {(i, tuple(brute(x))) for i, x in rows}
+    # The plain patterns would take quadratic time on the long runs, in which nothing is valid.
+    want = {4: tuple(brute(rows[3][1]))}
+    assert found(spans(docs(rows))) == {(i, want.get(i, ())) for i, _ in rows}
 
 
 def test_contexts_of_known_values_find_values_of_other_forms(docs):
