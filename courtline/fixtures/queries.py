@@ -6,8 +6,9 @@ tool reads them alike.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from courtline.operators import ingest, reports, rest, selection, team_stats, va
 from courtline.operators.matchup import join_ratings, predict
 from courtline.operators.ratings import power_rating, top_teams
 from courtline.plans.daily import team_stats_table
+from courtline.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +27,7 @@ LOCAL_DAY = date(2024, 1, 15)
 NEXT_DAY_AS_OF = date(2023, 12, 30)
 OUTCOME_DATES = (date(1996, 1, 1), date(1999, 12, 31))
 KEY = ["event_id"]
+SNAPSHOTS = (datetime(2025, 11, 8, 12, 0), datetime(2025, 11, 9, 12, 0))
 
 
 def _round(df: DataFrame, digits: int, *names: str) -> DataFrame:
@@ -302,7 +305,37 @@ def best_bets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.best_bets(published(spark, sf_dir), KEY)
 
 
+def _new_folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own for one run, below the one that driver and executors share."""
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def odds_table_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sports, written as snapshots of two times; the newest of each sport read back."""
+    path = _new_folder(spark, "odds")
+    found = games(spark, sf_dir)
+    for sport, odd, stamp in (("NBA", 0, SNAPSHOTS[1]), ("WNBA", 1, SNAPSHOTS[0])):
+        writers.write_odds_snapshot(found.filter(F.col("event_id") % 2 == odd).withColumn("sport", F.lit(sport)), path, stamp)
+    return readers.read_newest_odds(spark, path).drop("snapshot_ts", "snapshot_date")
+
+
+def team_stats_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _new_folder(spark, "team_stats")
+    writers.write_team_stats(tpch.team_stats(spark, sf_dir), path)
+    found = readers.read_team_stats(spark, path, "parquet").select("TEAM_NAME", "TEAM_ID", "PTS", "W_PCT", "REB")
+    return _round(found, 6, "PTS", "W_PCT")
+
+
+def ponderations_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _new_folder(spark, "ponderations")
+    writers.write_ponderations(ponderations(spark, sf_dir), path)
+    return readers.read_ponderations(spark, path)
+
+
 QUERIES: dict[str, Query] = {
+    "odds_table_round_trip": odds_table_round_trip,
+    "team_stats_round_trip": team_stats_round_trip,
+    "ponderations_round_trip": ponderations_round_trip,
     "latest_snapshot": latest_snapshot,
     "json_header_rowset": json_header_rowset,
     "json_row_map": json_row_map,

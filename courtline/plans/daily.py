@@ -17,7 +17,7 @@ from courtline.operators import ingest, reports, team_stats
 from courtline.operators.matchup import join_ratings, predict
 from courtline.operators.ratings import power_rating
 from courtline.operators.rest import rest_splits_wide
-from courtline.operators.selection import next_game_day
+from courtline.operators.selection import keep_extreme, next_game_day
 from courtline.operators.value import ponderations, value_flags
 from courtline.sources import readers, writers
 
@@ -42,22 +42,25 @@ def team_stats_table(base_docs: DataFrame, opponent_docs: DataFrame, log_docs: D
 
 
 def games_in_window(documents: DataFrame, zone: str, as_of: date, days: int = 3,
-                    teams_row_bound: int | None = None) -> DataFrame:
+                    teams_row_bound: int | None = None, scope: Sequence[str] = ()) -> DataFrame:
     """Games with odds from ``as_of`` on, for ``days`` days.
 
+    Of documents of several fetches, ``scope`` names the columns that tell these
+    apart; a fetch that landed twice counts once.
+
     Counts the events of those days first: a few days' events are few, and then
     only the documents they refer to are decoded.
     """
     last = as_of + timedelta(days=days - 1)
-    n_events = ingest.open_events(documents, zone, as_of, last).count()
-    return ingest.odds_snapshot(documents, zone, as_of, last, teams_row_bound, n_events)
+    n_events = ingest.open_events(documents, zone, as_of, last, scope).count()
+    return ingest.odds_snapshot(documents, zone, as_of, last, teams_row_bound, n_events, scope)
 
 
 def next_available_games(documents: DataFrame, zone: str, as_of: date, days: int = 3,
-                         teams_row_bound: int | None = None) -> DataFrame:
-    """Games with odds on the first day from ``as_of`` on that has any, per sport."""
-    near = games_in_window(documents, zone, as_of, days, teams_row_bound)
-    return next_game_day(near, as_of, ("sport",), "event_date", days)
+                         teams_row_bound: int | None = None, scope: Sequence[str] = ()) -> DataFrame:
+    """Games with odds on the first day from ``as_of`` on that has any, per sport and fetch."""
+    near = games_in_window(documents, zone, as_of, days, teams_row_bound, scope)
+    return next_game_day(near, as_of, ("sport", *scope), "event_date", days)
 
 
 GAMES = ("sport string, event_url string, event_date date, away_team string, home_team string, "
@@ -84,13 +87,18 @@ class DayPaths:
 
 def run_day(spark: SparkSession, documents: DataFrame, stats: DataFrame, paths: DayPaths, zone: str,
             as_of: date, snapshot_ts: datetime, value: ValueConfig = ValueConfig(),
-            report: ReportConfig = ReportConfig()) -> None:
+            report: ReportConfig = ReportConfig(), fetch: str | None = None) -> None:
     """Write one day's odds snapshot, predictions and reports.
 
+    If the landed documents hold several fetches, ``fetch`` names the column that
+    orders them; the newest one of each sport is used.
+
     Every step reads the table the step before wrote, so nothing is computed
     twice and a lost executor costs at most one step's tasks.  The team table,
     once written, also has a known size: Spark broadcasts it only if it is small.
     """
+    if fetch is not None:
+        documents = keep_extreme(documents, ("sport",), fetch, F.max)
     writers.write_team_stats(stats, paths.of("team_stats"))
     games_in_window(documents, zone, as_of).write.mode("overwrite").parquet(paths.of("games_in_window"))
     near = spark.read.schema(GAMES).parquet(paths.of("games_in_window"))

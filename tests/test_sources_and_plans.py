@@ -147,6 +147,10 @@ def test_documents_are_pruned_to_their_kind(spark, tmp_path):
     landed.frame(spark).write.partitionBy("sport", "kind").parquet(path)
     games = daily.next_available_games(readers.read_documents(spark, path), "UTC", date(2025, 11, 4))
     assert games.count() == 1
+    twice = readers.read_documents(spark, path)
+    assert daily.next_available_games(twice.unionAll(twice), "UTC", date(2025, 11, 4)).count() == 1
+    fetches = twice.withColumn("fetch", F.lit("a")).unionAll(twice.withColumn("fetch", F.lit("b")))
+    assert daily.next_available_games(fetches, "UTC", date(2025, 11, 4), scope=("fetch",)).count() == 2
     plan = games._jdf.queryExecution().executedPlan().toString()
     assert plan.count("(kind#") >= plan.count("FileScan")
 
