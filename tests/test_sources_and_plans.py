@@ -194,3 +194,12 @@ def test_partitions_grow_with_the_shuffle():
 def test_nothing_needs_the_session_zone(spark):
     assert spark.conf.get("spark.sql.session.timeZone") == "America/New_York"
     assert spark.range(1).select(F.current_timezone()).first()[0] == "America/New_York"
+
+
+def test_sports_with_digits_and_underscores(spark, tmp_path):
+    for name in ("ncaa_m", "u21"):
+        for stamp, spread in (("20251108_1200", 1.0), ("20251109_1200", 2.0)):
+            (tmp_path / f"{name}_odds_{stamp}.csv").write_text(
+                f"sport,away_team,home_team,spread,away_moneyline,home_moneyline,total\n{name},A,B,{spread},,,\n")
+        [row] = readers.read_latest_odds(spark, str(tmp_path), name).collect()
+        assert row["spread"] == 2.0 and str(row["snapshot_ts"]).startswith("2025-11-09")

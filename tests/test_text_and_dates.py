@@ -75,3 +75,16 @@ def test_local_dates_do_not_depend_on_the_session_zone(spark):
         date(2025, 11, 4), date(2025, 11, 4), date(2025, 11, 3), None, None]
     stamp = spark.sql("SELECT TIMESTAMP_NTZ '2024-01-01 04:59:59' AS x")
     assert stamp.select(local_date_of_utc(F.col("x"), "-05:00")).first()[0] == date(2023, 12, 31)
+
+
+def test_the_repeated_hour_of_the_session_zone(spark):
+    """The instant lies in an hour that New York's clock shows twice."""
+    df = spark.createDataFrame([("2025-11-02T06:30Z",), ("2025-11-02T05:30Z",)], "x string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for session_zone in ("UTC", "America/New_York", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", session_zone)
+            got = [str(r[0]) for r in df.select(event_local_date(F.col("x"), "America/Costa_Rica")).collect()]
+            assert got == ["2025-11-02", "2025-11-01"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
