@@ -255,11 +255,15 @@ def drop_near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: st
     rows that repeat id and text one stays.
     """
     found = classes(docs, id_column, text_column, **settings)
+    return keep_rows(docs, found.select("least.*").distinct(), id_column, text_column)
 
+
+def keep_rows(docs: DataFrame, least: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """The rows of ``docs`` named in ``least`` by distinct ``id`` and ``text_hash``, one of each."""
     def key(of: DataFrame, id_: str, text_hash: Column) -> DataFrame:
         return of.withColumns({"k1": F.coalesce(F.col(id_).cast("string"), F.lit("")), "k2": text_hash})
 
-    keep = key(found.select("least.*").distinct(), "id", F.col("text_hash")).select("k1", "k2")
+    keep = key(least, "id", F.col("text_hash")).select("k1", "k2")
     rows = key(carried(docs, id_column, text_column), "id", F.xxhash64("text")).select("k1", "k2", "row")
     # The join has sorted its rows by the window's keys already.
     again = F.row_number().over(Window.partitionBy("k1", "k2").orderBy("k2"))
