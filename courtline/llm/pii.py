@@ -144,13 +144,37 @@ def _tested(k: int, kind: str) -> Column:
     return F.transform(F.filter(kind, lambda s: _valid(kind, s["value"])), numbered)
 
 
+def _covered(spans: Column) -> Column:
+    """One byte for each place up to the end of the last of a form's matches: 1 within a match, else 0."""
+    def piece(s: Column, i: Column) -> Column:
+        before = F.when(i > 0, F.get(spans, i - 1)["end"]).otherwise(0)
+        return F.concat(F.repeat(F.lit("0"), s["start"] - before), F.repeat(F.lit("1"), s["end"] - s["start"]))
+
+    # As binary, whose parts are cut out in constant time.
+    return F.array_join(F.transform(spans, piece), "").cast("binary")
+
+
+def _free(tokens: Column, base: Column) -> Column:
+    """The tokens that overlap no base span, in time linear in the text."""
+    def free(masks: Column) -> Column:
+        def covers(mask: Column, s: Column) -> Column:
+            return F.substring(mask, s["start"] + 1, s["end"] - s["start"]).cast("string").contains("1")
+
+        return F.filter(tokens, lambda s: ~F.exists(masks, lambda mask: covers(mask, s)))
+
+    def of_kind(k: int) -> Column:
+        return F.filter(base, lambda s: s["kind"] == k)
+
+    return _let(F.array(*(_covered(of_kind(k)) for k in range(len(KINDS)))), free)
+
+
 def forms(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
           settings: Settings = Settings()) -> DataFrame:
     """``id``, ``row_key``, ``base`` and ``others`` of every row.
 
     ``base`` holds the spans of the fixed forms (``kind`` as its place in ``KINDS``)
     that pass their tests, by kind and start, ``others`` the tokens that may be
-    identifiers; places are in code points.  Null texts are empty.
+    identifiers and overlap no base span; places are in code points.  Null texts are empty.
     """
     rows = docs.select(F.col(id_column).alias("id"), text_or_empty(text_column).alias("text"))
     rows = rows.withColumns({"row_key": F.xxhash64("id", "text"), "has_any": F.col("text").rlike("[0-9@]")})
@@ -159,7 +183,9 @@ def forms(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     rows = _matches(rows, "tokens", TOKEN, None)
     base = F.concat(*(_tested(k, kind) for k, kind in enumerate(KINDS)))
     other = F.filter("tokens", lambda s: s["value"].contains("@") | (F.length(_digits(s["value"])) >= settings.least_digits))
-    return rows.select("id", "row_key", base.alias("base"), other.alias("others"))
+    rows = rows.select("id", "row_key", base.alias("base"), other.alias("others"))
+    return rows.withColumn("others", F.when((F.size("base") > 0) & (F.size("others") > 0), _free(
+        F.col("others"), F.col("base"))).otherwise(F.col("others")))
 
 
 def _contexts(left: Column, right: Column) -> Column:
@@ -234,7 +260,5 @@ def spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     found = best.groupBy("row_key").agg(F.sort_array(F.collect_list(F.struct(
         (-F.col("b.col2")).alias("kind"), "start", "end", "value"))).alias("found"))
     joined = rows.join(found, "row_key", "left")
-    free = F.filter("found", lambda f: ~F.exists(
-        "base", lambda b: (b["start"] < f["end"]) & (f["start"] < b["end"])))
     empty = F.array().cast("array<struct<kind:int,start:int,end:int,value:string>>")
-    return joined.select("id", "base", F.coalesce(free, empty).alias("found"))
+    return joined.select("id", "base", F.coalesce("found", empty).alias("found"))

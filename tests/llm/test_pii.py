@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from courtline.llm.pii import KINDS, Settings, spans
+from courtline.llm.pii import KINDS, Settings, forms, spans
 
 FORMS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -71,6 +71,21 @@ def test_contexts_of_known_values_find_values_of_other_forms(docs):
     assert not got[202] and not got[203] and not any(got[i] for i in range(30))
 
 
+@pytest.mark.parametrize("mark", [",", ".", ";", ")", "),"])
+def test_marks_after_identifiers_leave_the_patterns_good(docs, mark):
+    rows = [(i, f"contact: u{i}@mail.org{mark if i % 3 else ''} today") for i in range(60)]
+    rows += [(100 + i, f"paid card: 4111 1111 1111 1111{mark} again{i}") for i in range(5)]
+    rows += [(200 + i, f"dial phone: +1 (988) 555-{2000 + i}{mark if i % 3 else ''} now") for i in range(60)]
+    rows += [(300, "contact: jane[at]mail4567.org today"), (301, "phone: 988-555-777 now"), (302, "x1234@ +1 (988) 555-2000, 98765")]
+    parts = {r.id: r for r in forms(docs(rows)).collect()}
+    for i, x in rows:
+        spans_ = [(a, b) for _, a, b in brute(x)]
+        want = [(m.start(), m.end()) for m in re.finditer(r"\S*[0-9@]\S*", x) if "@" in m.group() or len(re.sub("[^0-9]", "", m.group())) >= 4]
+        assert [(s.start, s["end"]) for s in parts[i].others] == [(a, b) for a, b in want if not any(c < b and a < d for c, d in spans_)]
+    got = {r.id: [(KINDS[s.kind], s.value) for s in r.found] for r in spans(docs(rows)).collect()}
+    assert got[300] == [("email", "jane[at]mail4567.org")] and got[301] == [("phone", "988-555-777")]
+
+
 def test_a_context_of_anything_teaches_nothing(docs):
     rows = [(i, f"the u{i}@mail.org of") for i in range(20)] + [(50 + i, f"the {70000 + i} of") for i in range(20)]
     assert not any(r.found for r in spans(docs(rows)).collect())
