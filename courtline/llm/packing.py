@@ -8,9 +8,10 @@ documents.  The plan's places are then dealt out by rank among pieces of a lengt
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 from typing import NamedTuple
 
@@ -33,12 +34,38 @@ RANKED_TOGETHER = 50_000
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
+# Runs of white space from which on a text is left to the tokenizers library: tiktoken's pattern goes back
+# over them and overflows its stack at somewhere near a million.
+LONG_RUN = re.compile(r"\s{10000}")
+
+
+@cache
+def encoder(path: str) -> Callable[[str], list[int]]:
+    """What gives the ids of the tokenizers library (``add_special_tokens=False``) for the byte-level BPE file.
+
+    Texts with an added token's string or very long white space go to that
+    library itself, all others to tiktoken, which is faster and equal on them.
+    """
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    fast = encoding(path).encode_ordinary
+
+    def encode(text: str) -> list[int]:
+        if any(token in text for token in added) or LONG_RUN.search(text):
+            return tokenizer.encode(text, add_special_tokens=False).ids
+        return fast(text)
+
+    return encode
+
+
 @cache
 def encoding(path: str):
-    """An encoder with the ids of the byte-level BPE file (vocabulary in tokenizers' JSON format).
+    """tiktoken's encoder for the byte-level BPE file (vocabulary in tokenizers' JSON format).
 
     The file spells bytes as printable characters; the ids are the merge ranks.
-    Special tokens' strings in a text are ordinary text.
+    Special tokens' strings in a text are ordinary text here, see ``encoder``.
     """
     import tiktoken
 
@@ -73,7 +100,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, id_column: str
         *([T.StructField("ids", T.BinaryType())] if keep_ids else [])])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoding(path).encode_ordinary
+        encode = encoder(path)
         for batch in batches:
             for part, _ in ta.slices(batch):
                 rows, columns = [], [[], [], [], [], []]

@@ -7,7 +7,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from courtline.llm import packing
-from courtline.llm.packing import best_fit, cuts, dominating, encoding, pack, pieces, plan
+from courtline.llm.packing import best_fit, cuts, dominating, encoder, encoding, pack, pieces, plan
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -89,6 +89,18 @@ def test_ids_are_those_of_the_tokenizers_library():
     assert [encoding(PATH).encode_ordinary(x) for x in texts] == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_added_tokens_and_long_white_space_as_by_the_tokenizers_library(docs):
+    tokenizer = Tokenizer.from_file(PATH)
+    texts = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", "<|endoftext", "x\n <|endoftext|>\n y", "\n" * 1_000_000 + "a",
+             "a" + " " * 1_000_000 + "b", " \u3000" * 9_000 + "c", " " * 9_999 + "d", "\x1c\x1f\x85" * 5_000 + "e", "\u200b" * 20_000 + "f"]
+    encode = encoder(PATH)
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [encode(x) for x in texts] == want and len(want[0]) == 4
+    got = {(r.id, r.piece): r.ids_crc32 for r in pieces(docs(list(enumerate(texts))), PATH).collect()}
+    assert got == {(i, k): zlib.crc32(np.array([*ids, 0][a:a + n], "<u4").tobytes())
+                   for i, ids in enumerate(want) for k, (a, n) in enumerate(cuts(len(ids) + 1))}
+
+
 def test_pieces_and_places(docs):
     rng = random.Random(2)
     rows = [(i, " ".join(rng.choice(["one", "Zwei", "trois", "ñu"]) for _ in range(rng.randrange(0, 200)))) for i in range(200)]
