@@ -56,9 +56,30 @@ SELECT page_id, host, path, rule,
 FROM r
 """
 
+OP12_HARD_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS other_id, a.label = r.label AS same, list_dot_product(a.x, r.x)::BIGINT AS score
+  FROM v a, v r WHERE a.vec_id % 50 = 0 AND a.vec_id <> r.vec_id),
+p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id))::INTEGER AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_host_reputation": OP3_HOST_REPUTATION,
         "op6_exact_dedup": OP6_EXACT_DEDUP,
+        "op12_hard_negatives": OP12_HARD_NEGATIVES,
     }

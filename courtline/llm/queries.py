@@ -7,8 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtline.llm import context_tree, decontamination, exact_dedup, language_id, packing, pii, quality, simhash, toxicity, url_reputation
-from courtline.llm.common import remainder
+from courtline.llm import (
+    context_tree,
+    decontamination,
+    exact_dedup,
+    first_fit,
+    hard_negatives,
+    language_id,
+    packing,
+    periodic_runs,
+    pii,
+    quality,
+    simhash,
+    toxicity,
+    url_reputation,
+)
+from courtline.llm.common import remainder, text_or_empty
 from courtline.llm.url_reputation import Rule
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,6 +127,47 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return first_fit.pack(first_fit.pieces(docs, tokenizer_path())).select(
+        F.col("id").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    label = F.col("label").cast("long")
+    moved = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+    return hard_negatives.mine(moved, F.col("vec_id") % 50 == 0, id_column="vec_id", vector_column="embedding").select(
+        "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+def with_planted_period(docs: DataFrame) -> DataFrame:
+    """The texts of a tenth of the ids, chosen by hash, with all words from a place on replaced by a repeated stretch."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    words = F.regexp_extract_all(text_or_empty(), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    w = docs.withColumn("words", F.when(h % 10 == 0, words)).withColumn("g", F.floor(h / 10)).withColumn(
+        "n", F.size("words").cast("long")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    p = 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))
+
+    def word(i: Column) -> Column:
+        return F.get("words", F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int"))
+
+    planted = F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), word), " ")
+    return w.withColumn("p", p).select("doc_id", F.when(F.col("n") > 0, planted).otherwise(text_or_empty()).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_planted_period(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic_runs.with_runs(docs).select(
+        "doc_id", "repeated.runs", "repeated.collapsed", periodic_runs.longest(F.col("repeated.runs")).alias("best"))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(
+        r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n"))), "")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_context_tree": op1_context_tree,
     "op2_simhash": op2_simhash,
@@ -124,4 +179,7 @@ QUERIES: dict[str, Query] = {
     "op8_pii": op8_pii,
     "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,
+    "op11_packing": op11_packing,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_periodic_runs": op13_periodic_runs,
 }
