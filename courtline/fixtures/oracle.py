@@ -359,10 +359,10 @@ def oracle_sql() -> dict[str, str]:
         "ponderations": _select(predicted, "flagged", _PUBLISHED_COLUMNS),
         "ponderations_round_trip": _select(predicted, "flagged", _PUBLISHED_COLUMNS),
         "odds_table_round_trip": _with(_GAMES, """
-            SELECT CASE WHEN event_id % 2 = 0 THEN 'NBA' ELSE 'WNBA' END AS sport, away_team, home_team, spread,
-                   away_moneyline, home_moneyline, total,
-                   CASE WHEN event_id % 2 = 0 THEN '20251109_1200' ELSE '20251108_1200' END AS snapshot
-            FROM games"""),
+          SELECT CASE event_id % 4 WHEN 0 THEN 'NBA' WHEN 1 THEN 'WNBA' WHEN 2 THEN 'a+b' ELSE 'a b' END AS sport,
+                 away_team, home_team, spread, away_moneyline, home_moneyline, total,
+                 CASE WHEN event_id % 4 < 2 THEN '20251109_1200' ELSE '20251108_1200' END AS snapshot
+          FROM games"""),
         "team_stats_round_trip": _with(_TEAM_STATS, f"""
             SELECT team_name AS TEAM_NAME, team_id AS TEAM_ID, {_r("pts", 6, "PTS")}, {_r("w_pct", 6, "W_PCT")},
                    CAST(NULL AS DOUBLE) AS REB FROM fx_team_stats"""),

@@ -27,6 +27,8 @@ LOCAL_DAY = date(2024, 1, 15)
 NEXT_DAY_AS_OF = date(2023, 12, 30)
 OUTCOME_DATES = (date(1996, 1, 1), date(1999, 12, 31))
 KEY = ["event_id"]
+# The second one is in both snapshots, the last two are apart only by what a path escapes.
+SPORTS = ("NBA", "WNBA", "a+b", "a b")
 SNAPSHOTS = (datetime(2025, 11, 8, 12, 0), datetime(2025, 11, 9, 12, 0))
 
 
@@ -311,11 +313,17 @@ def _new_folder(spark: SparkSession, name: str) -> str:
 
 
 def odds_table_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two sports, written as snapshots of two times; the newest of each sport read back."""
+    """Sports written as snapshots of two times, one of them twice; the newest of each sport read back.
+
+    The later snapshot first holds all games of all sports, then, written again,
+    only what it should; sports whose names a path must escape stay apart.
+    """
     path = _new_folder(spark, "odds")
-    found = games(spark, sf_dir)
-    for sport, odd, stamp in (("NBA", 0, SNAPSHOTS[1]), ("WNBA", 1, SNAPSHOTS[0])):
-        writers.write_odds_snapshot(found.filter(F.col("event_id") % 2 == odd).withColumn("sport", F.lit(sport)), path, stamp)
+    found = games(spark, sf_dir).withColumn("sport", F.element_at(
+        F.array(*map(F.lit, SPORTS)), (F.col("event_id") % len(SPORTS)).cast("int") + 1))
+    writers.write_odds_snapshot(found.withColumn("sport", F.lit("NBA")), path, SNAPSHOTS[1])
+    for sports, stamp in ((SPORTS[:2], SNAPSHOTS[1]), (SPORTS[1:], SNAPSHOTS[0])):
+        writers.write_odds_snapshot(found.filter(F.col("sport").isin(list(sports))), path, stamp)
     return readers.read_newest_odds(spark, path).drop("snapshot_ts", "snapshot_date")
 
 

@@ -102,10 +102,9 @@ def run_day(spark: SparkSession, documents: DataFrame, stats: DataFrame, paths:
     writers.write_team_stats(stats, paths.of("team_stats"))
     games_in_window(documents, zone, as_of).write.mode("overwrite").parquet(paths.of("games_in_window"))
     near = spark.read.schema(GAMES).parquet(paths.of("games_in_window"))
-    writers.write_odds_snapshot(next_game_day(near, as_of), paths.of("odds"), snapshot_ts)
+    added = writers.write_odds_snapshot(next_game_day(near, as_of), paths.of("odds"), snapshot_ts)
 
-    snapshot = readers.read_odds_table(spark, paths.of("odds")).filter(
-        F.col("snapshot") == writers.snapshot_name(snapshot_ts))
+    snapshot = readers.read_odds_table(spark, paths.of("odds"), [added])
     team_table = readers.read_team_stats(spark, paths.of("team_stats"), "parquet")
     flagged = flagged_predictions(snapshot, team_table, value=value)
     writers.write_ponderations(ponderations(flagged), paths.of("ponderations"), "parquet")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,16 +12,20 @@ from pyspark.sql.types import StructType
 
 from courtline import schemas
 from courtline import wording as w
+from courtline.sources import commits
+from courtline.sources.commits import Commit
 
 _SNAPSHOT_NAME = r"([^/]+)_odds_(\d{8}_\d{4})\.csv"
 
 
-_ODDS_TABLE = (StructType(list(schemas.ODDS.fields)).add("snapshot_ts", "timestamp_ntz")
-               .add("snapshot_date", "date").add("snapshot", "string"))
+_ODDS_TABLE = StructType(list(schemas.ODDS.fields)).add("snapshot_ts", "timestamp_ntz").add("snapshot_date", "date")
+_SPORT = StructType([schemas.ODDS["sport"]])
+# What a path pattern gives a meaning of its own.
+_PATTERN = re.compile(r"([\\\[\]{}*?])")
 
 
-def _read(spark: SparkSession, path: str, format_: str, schema: StructType | None) -> DataFrame:
-    reader = spark.read.schema(schema) if schema else spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+def _read(spark: SparkSession, path: str, format_: str, schema: StructType) -> DataFrame:
+    reader = spark.read.schema(schema)
     if format_ == "csv":
         reader = reader.option("header", True).option("enforceSchema", False)
     try:
@@ -82,7 +89,8 @@ def latest_odds_file(spark: SparkSession, data_dir: str, sport: str = "nba") ->
     """
     missing = f"no odds file of {sport} in {data_dir}"
     try:
-        files = spark.read.format("binaryFile").load(f"{data_dir}/{sport}_odds_*.csv").select("path")
+        named = _PATTERN.sub(r"\\\1", sport)
+        files = spark.read.format("binaryFile").load(f"{data_dir}/{named}_odds_*.csv").select("path")
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(missing) from error
@@ -102,34 +110,31 @@ def read_latest_odds(spark: SparkSession, data_dir: str, sport: str = "nba") ->
     return with_snapshot_ts(_read(spark, latest_odds_file(spark, data_dir, sport), "csv", schemas.ODDS))
 
 
-def read_odds_table(spark: SparkSession, path: str) -> DataFrame:
-    """The partitioned odds table of :func:`courtline.sources.writers.write_odds_snapshot`.
+def read_odds_table(spark: SparkSession, path: str, only: Sequence[Commit] | None = None) -> DataFrame:
+    """All snapshots of the table of :func:`courtline.sources.writers.write_odds_snapshot`, or only certain commits of it.
 
-    It is partitioned by sport, date and snapshot; :func:`read_newest_odds` reads the
-    newest partitions only.
+    Only committed snapshots are read, of a snapshot written again the newest version.
     """
-    return _read(spark, path, "parquet", _ODDS_TABLE)
+    if only is not None:
+        found = commits.committed_runs(spark, path, _ODDS_TABLE, only, ("sport",))
+    else:
+        found = commits.committed(spark, path, _ODDS_TABLE)
+    return found.withColumnRenamed("part", "snapshot")
 
 
-def newest_partitions(spark: SparkSession, path: str) -> DataFrame:
-    """``sport``, newest ``snapshot`` and its ``folder``, from the listing of the table; no file is opened."""
-    files = _read(spark, path, "binaryFile", None).select("path")
-    folder = F.regexp_extract("path", r"^(.*)/[^/]*$", 1)
-    part = {c: F.url_decode(F.regexp_extract("path", f"/{c}=([^/]*)/", 1)) for c in ("sport", "snapshot")}
-    return files.select(part["sport"].alias("sport"), part["snapshot"].alias("snapshot"), folder.alias("folder")).filter(
-        "snapshot <> ''").groupBy("sport").agg(
-        F.max("snapshot").alias("snapshot"), F.max_by("folder", "snapshot").alias("folder"))
+def newest_snapshots(spark: SparkSession, path: str) -> DataFrame:
+    """``sport``, its newest ``part`` (snapshot), ``run`` and ``rows``: an aggregate over the manifest, no table file is opened.
 
+    A missing sport is a sport like any other, and so is the empty text.
+    """
+    entry = F.struct("part", "run", "rows")
+    return commits.current(spark, path, _SPORT).groupBy("sport").agg(F.max(entry).alias("newest")).select("sport", "newest.*")
 
-def read_newest_odds(spark: SparkSession, path: str) -> DataFrame:
-    """The newest snapshot of each sport from the partitioned odds table; other partitions are not read.
 
-    One folder name for each sport reaches the driver, which lists the table anyway.
-    """
-    folders = [r.folder for r in newest_partitions(spark, path).collect()]
-    if not folders:
-        return spark.createDataFrame([], _ODDS_TABLE)
-    return spark.read.schema(_ODDS_TABLE).option("basePath", path).parquet(*folders)
+def read_newest_odds(spark: SparkSession, path: str) -> DataFrame:
+    """The newest snapshot of each sport from the odds table; other partitions are not read."""
+    found = commits.committed(spark, path, _ODDS_TABLE, ("sport",), newest_snapshots(spark, path))
+    return found.withColumnRenamed("part", "snapshot")
 
 
 def read_ponderations(spark: SparkSession, path: str, format_: str = "csv") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from courtline import wording as w
 from courtline.operators.team_stats import conform
+from courtline.sources.commits import Commit, commit
 
 
 def snapshot_name(snapshot_ts: datetime) -> str:
@@ -16,21 +17,19 @@ def snapshot_name(snapshot_ts: datetime) -> str:
     return f"{snapshot_ts:%Y%m%d_%H%M}"
 
 
-def write_odds_snapshot(games: DataFrame, path: str, snapshot_ts: datetime) -> None:
-    """Add one snapshot to the odds table, partitioned by sport, date and snapshot.
+def write_odds_snapshot(games: DataFrame, path: str, snapshot_ts: datetime) -> Commit:
+    """Add one snapshot to the odds table, its folders divided by sport.
 
-    Writing a snapshot again replaces it, so a repeated job adds no rows twice.
-    No games, no files.
+    Writing a snapshot again replaces it as a whole: no row is there twice, and a
+    sport that the new one lacks is gone.  Until all its files are written, a
+    snapshot is not there for readers.  No games, no files.
     """
     rows = games.select(
         *w.ODDS_COLUMNS,
         F.lit(snapshot_ts.isoformat(sep=" ")).cast("timestamp_ntz").alias("snapshot_ts"),
         F.lit(snapshot_ts.date()).alias("snapshot_date"),
-        F.lit(snapshot_name(snapshot_ts)).alias("snapshot"),
     )
-    # Files of even size: a sport with most of the games is split over several.
-    (rows.hint("rebalance", "sport").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("sport", "snapshot_date", "snapshot").parquet(path))
+    return commit(rows, path, snapshot_name(snapshot_ts), ("sport",))
 
 
 def export_odds_csv(games: DataFrame, data_dir: str, snapshot_ts: datetime, sport: str = "nba") -> str | None:

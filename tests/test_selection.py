@@ -114,18 +114,6 @@ def test_missing_positions_are_last_for_every_type(spark):
         assert got == expected
 
 
-def test_newest_odds_reads_only_the_newest_partitions(spark, tmp_path):
-    path = str(tmp_path / "t")
-    rows = [("nba", "20251108_1200", 1.0), ("nba", "20251109_1200", 2.0), ("n fl/x", "20251107_0900", 3.0)]
-    frame = spark.createDataFrame(rows, "sport string, snapshot string, spread double").withColumn("snapshot_date", F.lit(date(2025, 11, 9)))
-    frame.write.partitionBy("sport", "snapshot_date", "snapshot").parquet(path)
-    newest = readers.read_newest_odds(spark, path)
-    assert sorted((r["sport"], r["spread"]) for r in records(newest)) == [("n fl/x", 3.0), ("nba", 2.0)]
-    assert len(newest.inputFiles()) == 2
-    plan = readers.newest_partitions(spark, path)._jdf.queryExecution().executedPlan().toString()
-    assert "binaryFile" in plan and "ReadSchema: struct<path:string>" in plan
-
-
 def test_next_game_day(spark):
     rows = [("nba", date(2025, 11, 8)), ("nba", date(2025, 11, 10)), ("nba", date(2025, 11, 11)),
             ("nfl", date(2025, 11, 11)), ("nfl", date(2025, 11, 11)), ("mlb", date(2025, 11, 12)),
