@@ -201,6 +201,9 @@ def _outcome(wrong_date: str) -> str:
               ELSE 'game' END"""
 
 
+_OTHER_DATE = "local_day < DATE '1996-01-01' OR local_day > DATE '1999-12-31'"
+
+
 def _text(sql: str) -> str:
     """A constant text template as an SQL literal."""
     return "'" + sql.replace("'", "''") + "'"
@@ -394,9 +397,34 @@ def oracle_sql() -> dict[str, str]:
             FROM listed JOIN nation a ON away_id = a.n_nationkey JOIN nation h ON home_id = h.n_nationkey
             WHERE {_outcome("false")} = 'game'"""),
         "event_disposition": _with(_DOC_OUTCOME, f"""
-            SELECT {_outcome("local_day < DATE '1996-01-01' OR local_day > DATE '1999-12-31'")} AS disposition,
+            SELECT {_outcome(_OTHER_DATE)} AS disposition,
                    count(*) AS n
             FROM listed GROUP BY 1"""),
+        "landed_window": _with(_DOC_OUTCOME, f"""
+            SELECT 'NBA' AS sport, '/events/' || o_orderkey AS event_url, CAST(local_day AS VARCHAR) AS event_date,
+                   CASE WHEN away_id = 13 THEN 'Unknown' ELSE a.n_name END AS away_team,
+                   CASE WHEN home_id = 13 THEN 'Unknown' ELSE h.n_name END AS home_team,
+                   spread, away_moneyline, home_moneyline, total
+            FROM listed JOIN nation a ON away_id = a.n_nationkey JOIN nation h ON home_id = h.n_nationkey
+            WHERE {_outcome(_OTHER_DATE)} = 'game'"""),
+        "outcomes_round_trip": _with(_DOC_OUTCOME, f"""
+            SELECT '/events/' || o_orderkey AS event_url, {_outcome(_OTHER_DATE)} AS disposition,
+                   CASE {_outcome(_OTHER_DATE)}
+                     WHEN 'no_competition' THEN 'event without competitions' WHEN 'no_date' THEN 'event without date'
+                     WHEN 'wrong_date' THEN 'event of another date' WHEN 'error' THEN 'competition missing or unreadable'
+                     WHEN 'no_odds' THEN CASE WHEN o_orderkey % 37 = 0 THEN 'competition without odds'
+                                              ELSE 'odds without offers' END END AS reason,
+                   CASE WHEN {_outcome(_OTHER_DATE)} IN ('game', 'no_odds')
+                        THEN CASE WHEN away_id = 13 THEN 'Unknown' ELSE a.n_name END END AS away_team,
+                   CASE WHEN {_outcome(_OTHER_DATE)} IN ('game', 'no_odds')
+                        THEN CASE WHEN home_id = 13 THEN 'Unknown' ELSE h.n_name END END AS home_team,
+                   CASE WHEN {_outcome(_OTHER_DATE)} = 'game' THEN spread END AS spread,
+                   CASE WHEN {_outcome(_OTHER_DATE)} = 'game' THEN total END AS total
+            FROM listed JOIN nation a ON away_id = a.n_nationkey JOIN nation h ON home_id = h.n_nationkey"""),
+        "quarantine_round_trip": _with(_DOC_OUTCOME, f"""
+            SELECT '/events/' || o_orderkey AS event_url, 'competition missing or unreadable' AS reason,
+                   '/competitions/' || o_orderkey AS document_url, '{{"competitors": [' AS body
+            FROM listed WHERE {_outcome(_OTHER_DATE)} = 'error'"""),
         "events_on_local_date": """
             SELECT event_id, event_type, CAST(CAST(ts - INTERVAL 5 HOURS AS DATE) AS VARCHAR) AS local_date
             FROM events WHERE CAST(ts - INTERVAL 5 HOURS AS DATE) = DATE '2024-01-15'""",
@@ -416,6 +444,11 @@ def oracle_sql() -> dict[str, str]:
                    {", ".join(f"{sql.format(x='CASE WHEN rest_bucket IS NOT NULL THEN 1 END')} AS {m}"
                               for m, sql in _REST_AGGREGATES.items())}
             FROM rested WHERE rest_bucket IS NOT NULL GROUP BY team_id, rest_bucket"""),
+        "rest_splits_kept": _with(_GAME_LOG + "," + _rested("log"), f"""
+            SELECT CAST(team_id AS BIGINT) AS team_id, rest_bucket,
+                   {", ".join(f"{sql.format(x='CASE WHEN rest_bucket IS NOT NULL THEN 1 END')} AS {m}"
+                              for m, sql in _REST_AGGREGATES.items())}
+            FROM rested WHERE rest_bucket IS NOT NULL GROUP BY team_id, rest_bucket"""),
         "rest_splits_pivot": _with(_GAME_LOG + "," + _rested("log"), f"""
             SELECT CAST(team_id AS BIGINT) AS team_id, {_pivot()} FROM rested GROUP BY team_id"""),
         "team_stats_union": _with(_TEAM_STATS, f"""

@@ -12,6 +12,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from courtline.functions.stats_json import row_map
 from courtline.fixtures import tpch
@@ -19,7 +20,7 @@ from courtline.operators import ingest, reports, rest, selection, team_stats, va
 from courtline.operators.matchup import join_ratings, predict
 from courtline.operators.ratings import power_rating, top_teams
 from courtline.plans.daily import team_stats_table
-from courtline.sources import readers, writers
+from courtline.sources import landing, readers, rest_state, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -186,6 +187,38 @@ def event_disposition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.disposition_counts(outcomes)
 
 
+def _landed(spark: SparkSession, sf_dir: str) -> landing.LandedDocuments:
+    """The landed documents decoded into a store; a first landing of no other use is replaced."""
+    path = _new_folder(spark, "landed")
+    documents = tpch.documents(spark, sf_dir)
+    landing.land(documents.filter(F.col("kind") == "team"), path, "fetch-1")
+    landing.land(documents, path, "fetch-1")
+    return landing.LandedDocuments(spark, path, page_type=documents.schema["page"].dataType.simpleString())
+
+
+def landed_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Games of a window from the landed store: only its events' partitions are opened."""
+    found = ingest.odds_snapshot(_landed(spark, sf_dir), tpch.ZONE, *OUTCOME_DATES)
+    return _text(found.drop("fetch"), "event_date")
+
+
+def outcomes_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every listed event's outcome and reason, written by disposition and read back."""
+    path = _new_folder(spark, "outcomes")
+    writers.write_outcomes(ingest.event_outcomes(_landed(spark, sf_dir), tpch.ZONE, *OUTCOME_DATES), path, "fetch-1")
+    found = readers.read_outcomes(spark, path)
+    return found.select("event_url", "disposition", "reason", F.col("away_team"), F.col("home_team"), "spread", "total")
+
+
+def quarantine_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events dropped by an error, with the bodies to blame, written and read back."""
+    path = _new_folder(spark, "rejected")
+    documents = tpch.documents(spark, sf_dir)
+    outcomes = ingest.event_outcomes(_landed(spark, sf_dir), tpch.ZONE, *OUTCOME_DATES)
+    writers.write_rejected(ingest.rejected_documents(outcomes, documents), path, "fetch-1")
+    return readers.read_rejected(spark, path).select("event_url", "reason", "document_url", "body")
+
+
 def events_on_local_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = tpch.table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
     found = ingest.on_local_dates(events, "ts", tpch.ZONE, LOCAL_DAY, LOCAL_DAY)
@@ -340,6 +373,18 @@ def ponderations_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_ponderations(spark, path)
 
 
+def rest_splits_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The splits of a log that came in batches, out of order; one came twice, some were merged meanwhile."""
+    path = _new_folder(spark, "game_days")
+    log = tpch.game_log(spark, sf_dir)
+    team = T.StructType([log.schema["team_id"]])
+    for batch in (3, 0, 2, 0):
+        rest_state.add_games(log.filter(F.col("game_id") % 4 == batch), path, f"batch-{batch}")
+    rest_state.merge_batches(spark, path, team, "merged")
+    rest_state.add_games(log.filter(F.col("game_id") % 4 == 1), path, "batch-1")
+    return _round(rest.rest_splits_of_days(rest_state.read_game_days(spark, path, team)), 4, "W_PCT", "PTS", "PLUS_MINUS")
+
+
 QUERIES: dict[str, Query] = {
     "odds_table_round_trip": odds_table_round_trip,
     "team_stats_round_trip": team_stats_round_trip,
@@ -364,6 +409,9 @@ QUERIES: dict[str, Query] = {
     "home_away_roles": home_away_roles,
     "ref_dereference": ref_dereference,
     "event_disposition": event_disposition,
+    "landed_window": landed_window,
+    "outcomes_round_trip": outcomes_round_trip,
+    "quarantine_round_trip": quarantine_round_trip,
     "events_on_local_date": events_on_local_date,
     "event_date_range": event_date_range,
     "next_game_day": next_game_day,
@@ -371,6 +419,7 @@ QUERIES: dict[str, Query] = {
     "days_rest_text_order": days_rest_text_order,
     "rest_splits": rest_splits,
     "rest_splits_pivot": rest_splits_pivot,
+    "rest_splits_kept": rest_splits_kept,
     "team_stats_union": team_stats_union,
     "team_stats_wide": team_stats_wide,
     "team_preview": team_preview,

@@ -7,6 +7,9 @@ document is decoded and cut down to the needed fields before it is shuffled.
 Documents are those of one fetch.  Of a table holding many fetches, name the
 columns that tell them apart (say a snapshot time) as ``scope``: references are
 then followed within each fetch, all fetches at once.
+
+What the functions below take as ``documents`` is either a table of raw bodies or
+a :class:`Source`, such as the tables of bodies decoded at landing.
 """
 
 from __future__ import annotations
@@ -30,6 +33,13 @@ WRONG_DATE = "wrong_date"
 NO_ODDS = "no_odds"
 ERROR = "error"
 
+EVENT_UNREADABLE = "event missing or unreadable"
+COMPETITION_UNREADABLE = "competition missing or unreadable"
+ODDS_UNREADABLE = "odds missing or unreadable"
+
+_NO_REFERENCE = "no reference from "
+# Documents behind an event, in the order in which they are followed.
+_HOPS = ("competition", "away", "home", "odds")
 # Offers of one odds body that are told apart when two pages' best ones are as complete.
 _BODY_OFFERS = 10 ** 6
 
@@ -88,14 +98,9 @@ def _one_each(decoded: DataFrame, keys: Sequence[str], apart: bool = False) -> D
     return decoded.withColumn("copy", F.row_number().over(window)).filter("copy = 1").drop("copy")
 
 
-def dated_events(documents: DataFrame, zone: str, first: date | None = None,
-                 last: date | None = None, scope: Sequence[str] = ()) -> DataFrame:
-    """Listed events with their local date and, if they stop here, their disposition.
-
-    Only events dated ``first..last`` (inclusive, both optional) stay open
-    (null disposition).
-    """
-    events = decode(documents, "event", schemas.EVENT_BODY, scope).select(
+def event_fields(documents: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """What the hops need of event bodies."""
+    return decode(documents, "event", schemas.EVENT_BODY, scope).select(
         *scope,
         F.col("url").alias("event_url"),
         "unreadable",
@@ -103,24 +108,93 @@ def dated_events(documents: DataFrame, zone: str, first: date | None = None,
         F.col("doc.competitions").isNotNull().alias("has_competitions"),
         F.get("doc.competitions", F.lit(0))["$ref"].alias("competition_url"),
     )
+
+
+def competition_fields(documents: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    away, home = sides(F.col("doc.competitors"))
+    return decode(documents, "competition", schemas.COMPETITION_BODY, scope).select(
+        *scope,
+        F.col("url").alias("competition_url"),
+        F.col("unreadable").alias("competition_unreadable"),
+        away["team"]["$ref"].alias("away_ref"),
+        home["team"]["$ref"].alias("home_ref"),
+        F.col("doc.odds")["$ref"].alias("odds_ref"),
+    )
+
+
+def team_fields(documents: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """Readable team documents."""
+    return decode(documents, "team", schemas.TEAM_BODY, scope).filter(~F.col("unreadable")).select(
+        *scope,
+        F.col("url").alias("team_url"),
+        F.coalesce("doc.displayName", F.lit(w.UNKNOWN_TEAM)).alias("name"),
+    )
+
+
+def odds_fields(documents: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """The best offer of every odds body."""
+    return decode(documents, "odds", schemas.ODDS_BODY, scope).select(
+        *scope, F.col("url").alias("odds_url"), "page", "unreadable",
+        best_offer_of_items(F.col("doc.items")).alias("best"),
+    )
+
+
+class Source:
+    """Where the hops find their documents: raw bodies, decoded when a hop gets to them."""
+
+    def __init__(self, documents: DataFrame, scope: Sequence[str] = ()):
+        self.documents, self.scope = documents, tuple(scope)
+
+    def listed(self) -> DataFrame:
+        return listed_events(self.documents, self.scope)
+
+    def events(self, first: date | None = None, last: date | None = None) -> DataFrame:
+        """All events, or at least those that may be dated ``first..last`` in any zone."""
+        return event_fields(self.documents, self.scope)
+
+    def competitions(self, urls: DataFrame, row_bound: int | None) -> DataFrame:
+        return competition_fields(_referenced(self.documents, "competition", urls, row_bound, self.scope), self.scope)
+
+    def teams(self) -> DataFrame:
+        return team_fields(self.documents, self.scope)
+
+    def odds(self, urls: DataFrame, row_bound: int | None) -> DataFrame:
+        return odds_fields(_referenced(self.documents, "odds", urls, row_bound, self.scope), self.scope)
+
+
+def _source(documents: DataFrame | Source, scope: Sequence[str]) -> Source:
+    return documents if isinstance(documents, Source) else Source(documents, scope)
+
+
+def dated_events(documents: DataFrame | Source, zone: str, first: date | None = None, last: date | None = None,
+                 scope: Sequence[str] = (), others: bool = True) -> DataFrame:
+    """Listed events with their local date and, if they stop here, their disposition and its reason.
+
+    Only events dated ``first..last`` (inclusive, both optional) stay open
+    (null disposition).  Without ``others`` a source may leave out events of
+    other dates, which then seem to be missing.
+    """
+    source = _source(documents, scope)
+    scope = source.scope
+    events = source.events() if others else source.events(first, last)
     event_date = event_local_date(F.col("date_text"), zone)
     wrong = F.lit(False)
     if first is not None:
         wrong = wrong | (F.col("event_date") < F.lit(first))
     if last is not None:
         wrong = wrong | (F.col("event_date") > F.lit(last))
-    disposition = (
-        F.when(F.coalesce("unreadable", F.lit(True)), ERROR)
-        .when(~F.col("has_competitions"), NO_COMPETITION)
-        .when(F.col("date_text").isNull(), NO_DATE)
-        .when(F.col("event_date").isNull(), ERROR)
-        .when(wrong, WRONG_DATE)
+    stops = (
+        (F.coalesce("unreadable", F.lit(True)), ERROR, EVENT_UNREADABLE),
+        (~F.col("has_competitions"), NO_COMPETITION, "event without competitions"),
+        (F.col("date_text").isNull(), NO_DATE, "event without date"),
+        (F.col("event_date").isNull(), ERROR, "event date unreadable"),
+        (wrong, WRONG_DATE, "event of another date"),
     )
     return (
-        listed_events(documents, scope).join(_one_each(events, [*scope, "event_url"]), [*scope, "event_url"], "left")
+        source.listed().join(_one_each(events, [*scope, "event_url"]), [*scope, "event_url"], "left")
         .withColumn("event_date", event_date)
-        .withColumn("disposition", disposition)
-        .select(*scope, "sport", "event_url", "event_date", "competition_url", "disposition")
+        .withColumns(_stopped(stops))
+        .select(*scope, "sport", "event_url", "event_date", "competition_url", "disposition", "reason")
     )
 
 
@@ -138,12 +212,8 @@ def _referenced(documents: DataFrame, kind: str, urls: DataFrame, row_bound: int
     return wanted.join(F.broadcast(urls), [*scope, "url"], "left_semi")
 
 
-def _best_prices(documents: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
-    """Best offer per odds URL: chosen within each body first, then across its pages."""
-    bodies = decode(documents, "odds", schemas.ODDS_BODY, scope).select(
-        *scope, F.col("url").alias("odds_url"), "page", "unreadable",
-        best_offer_of_items(F.col("doc.items")).alias("best"),
-    )
+def _best_prices(bodies: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """Best offer per odds URL: chosen within each body already, here across its pages."""
     index = F.least(F.col("best.index"), F.lit(_BODY_OFFERS - 1))
     position = F.col("page").cast("decimal(30,0)") * _BODY_OFFERS + index
     rank = F.when(F.col("best").isNotNull(), fixed_rank(F.col("best.missing"), position))
@@ -154,70 +224,65 @@ def _best_prices(documents: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
 
 def _key(reference: Column) -> Column:
     """Join key of an optional reference: rows without one spread over all tasks, matching nothing."""
-    return F.coalesce(reference, F.concat(F.lit("no reference from "), F.col("event_url")))
+    return F.coalesce(reference, F.concat(F.lit(_NO_REFERENCE), F.col("event_url")))
+
 
+def _stopped(stops: Sequence[tuple[Column, str, str]], otherwise: str | None = None) -> dict[str, Column]:
+    """``disposition`` and ``reason`` by the first condition that holds."""
+    disposition, reason = F.lit(otherwise), F.lit(None).cast("string")
+    for condition, outcome, why in reversed(stops):
+        disposition = F.when(condition, outcome).otherwise(disposition)
+        reason = F.when(condition, why).otherwise(reason)
+    return {"disposition": disposition, "reason": reason}
 
-def resolve(documents: DataFrame, events: DataFrame, teams_row_bound: int | None = None,
+
+def resolve(documents: DataFrame | Source, events: DataFrame, teams_row_bound: int | None = None,
             events_row_bound: int | None = None, scope: Sequence[str] = (), keep: Sequence[str] = ()) -> DataFrame:
     """Follow open events to teams and best prices; every one gets a disposition.  ``keep`` names further columns of theirs.
 
     The bounds are proven upper limits on the number of team documents and of
     ``events``, if known; small ones save shuffles and decoding.
     """
-    away, home = sides(F.col("doc.competitors"))
-    competition_docs = _referenced(
-        documents, "competition", events.select(*scope, F.col("competition_url").alias("url")),
-        events_row_bound, scope)
-    competitions = decode(competition_docs, "competition", schemas.COMPETITION_BODY, scope).select(
-        *scope,
-        F.col("url").alias("competition_url"),
-        F.col("unreadable").alias("competition_unreadable"),
-        away["team"]["$ref"].alias("away_ref"),
-        home["team"]["$ref"].alias("home_ref"),
-        F.col("doc.odds")["$ref"].alias("odds_ref"),
-    )
-    teams = decode(documents, "team", schemas.TEAM_BODY, scope).filter(~F.col("unreadable")).select(
-        *scope,
-        F.col("url").alias("team_url"),
-        F.coalesce("doc.displayName", F.lit(w.UNKNOWN_TEAM)).alias("name"),
-    )
-    teams = _one_each(teams, [*scope, "team_url"], apart=True)
+    source = _source(documents, scope)
+    scope = source.scope
+    competitions = source.competitions(events.select(*scope, F.col("competition_url").alias("url")), events_row_bound)
+    teams = _one_each(source.teams(), [*scope, "team_url"], apart=True)
     out = (
         events.withColumn("competition_url", _key(F.col("competition_url")))
         .join(_one_each(competitions, [*scope, "competition_url"]), [*scope, "competition_url"], "left")
     )
-    odds_docs = _referenced(
-        documents, "odds", out.select(*scope, F.col("odds_ref").alias("url")), events_row_bound, scope)
+    bodies = source.odds(out.select(*scope, F.col("odds_ref").alias("url")), events_row_bound)
     for role in ("away", "home"):
         side = teams.select(*scope, F.col("team_url").alias(f"{role}_url"), F.col("name").alias(f"{role}_team"))
         out = out.withColumn(f"{role}_url", _key(F.col(f"{role}_ref"))).join(
             small_side(side, teams_row_bound), [*scope, f"{role}_url"], "left"
         )
     out = out.withColumn("odds_url", _key(F.col("odds_ref"))).join(
-        _best_prices(odds_docs, scope), [*scope, "odds_url"], "left"
+        _best_prices(bodies, scope), [*scope, "odds_url"], "left"
     )
-    disposition = (
-        F.when(F.coalesce("competition_unreadable", F.lit(True)), ERROR)
-        .when(F.col("away_team").isNull() | F.col("home_team").isNull(), ERROR)
-        .when(F.col("odds_ref").isNull(), NO_ODDS)
-        .when(F.coalesce("odds_unreadable", F.lit(True)), ERROR)
-        .when(~F.col("has_offer"), NO_ODDS)
-        .otherwise(GAME)
+    stops = (
+        (F.coalesce("competition_unreadable", F.lit(True)), ERROR, COMPETITION_UNREADABLE),
+        (F.col("away_team").isNull(), ERROR, "away team missing or unreadable"),
+        (F.col("home_team").isNull(), ERROR, "home team missing or unreadable"),
+        (F.col("odds_ref").isNull(), NO_ODDS, "competition without odds"),
+        (F.coalesce("odds_unreadable", F.lit(True)), ERROR, ODDS_UNREADABLE),
+        (~F.col("has_offer"), NO_ODDS, "odds without offers"),
     )
-    return out.select(
+    return out.withColumns(_stopped(stops, GAME)).select(
         *scope, F.upper("sport").alias("sport"), "event_url", "event_date", "away_team", "home_team",
-        *w.PRICE_COLUMNS, disposition.alias("disposition"), *keep,
+        *w.PRICE_COLUMNS, "disposition", "reason",
+        *(F.when(~F.col(f"{c}_url").startswith(_NO_REFERENCE), F.col(f"{c}_url")).alias(f"{c}_url") for c in _HOPS), *keep,
     )
 
 
-def open_events(documents: DataFrame, zone: str, first: date | None = None,
+def open_events(documents: DataFrame | Source, zone: str, first: date | None = None,
                 last: date | None = None, scope: Sequence[str] = ()) -> DataFrame:
     """Listed events dated ``first..last`` that are worth following."""
-    events = dated_events(documents, zone, first, last, scope)
-    return events.filter(F.col("disposition").isNull()).drop("disposition")
+    events = dated_events(documents, zone, first, last, scope, others=False)
+    return events.filter(F.col("disposition").isNull()).drop("disposition", "reason")
 
 
-def odds_snapshot(documents: DataFrame, zone: str, first: date | None = None,
+def odds_snapshot(documents: DataFrame | Source, zone: str, first: date | None = None,
                   last: date | None = None, teams_row_bound: int | None = None,
                   events_row_bound: int | None = None, scope: Sequence[str] = ()) -> DataFrame:
     """One row per game dated ``first..last`` with the prices of its best provider.
@@ -226,27 +291,63 @@ def odds_snapshot(documents: DataFrame, zone: str, first: date | None = None,
     """
     events = open_events(documents, zone, first, last, scope)
     games = resolve(documents, events, teams_row_bound, events_row_bound, scope)
-    return games.filter(F.col("disposition") == GAME).drop("disposition")
+    return games.filter(F.col("disposition") == GAME).drop("disposition", "reason", *(f"{c}_url" for c in _HOPS))
 
 
-def event_outcomes(documents: DataFrame, zone: str, first: date | None = None,
+def event_outcomes(documents: DataFrame | Source, zone: str, first: date | None = None,
                    last: date | None = None, teams_row_bound: int | None = None,
                    events_row_bound: int | None = None, scope: Sequence[str] = ()) -> DataFrame:
     """Every listed event with what became of it (see the constants above).
 
-    The rows that are not games are the quarantine, each with its reason.
+    ``disposition`` and, unless it is a game, the ``reason``; games with all that
+    :func:`odds_snapshot` gives, others with as much as was found; and the URLs of
+    the documents that were followed.
     """
-    events = dated_events(documents, zone, first, last, scope).withColumnRenamed("disposition", "stopped")
+    events = dated_events(documents, zone, first, last, scope).withColumnsRenamed({"disposition": "stopped", "reason": "because"})
     # Events that stop here go along without a reference, which matches nothing.
     open_ = events.withColumn("competition_url", F.when(F.col("stopped").isNull(), F.col("competition_url")))
-    followed = resolve(documents, open_, teams_row_bound, events_row_bound, scope, keep=("stopped",))
-    return followed.select(*scope, "event_url", F.coalesce("stopped", "disposition").alias("disposition"))
+    followed = resolve(documents, open_, teams_row_bound, events_row_bound, scope, keep=("stopped", "because"))
+    return followed.withColumns({
+        "disposition": F.coalesce("stopped", "disposition"),
+        "reason": F.when(F.col("stopped").isNotNull(), F.col("because")).otherwise(F.col("reason")),
+    }).drop("stopped", "because")
+
+
+def rejected_documents(outcomes: DataFrame, documents: DataFrame, scope: Sequence[str] = (),
+                       row_bound: int | None = None) -> DataFrame:
+    """The quarantine: every listed event that was dropped by an error, with the body to blame.
+
+    ``document_url`` is that of the event, or of the document behind it that could
+    not be followed; ``body`` is null if there is no such document.  A document of
+    several pages gives a row for each.  ``row_bound`` is a proven upper limit on
+    the errors, if known: of few ones only the URLs are sent out, and no body of
+    any other document is shuffled.
+    """
+    blamed = (
+        F.when(F.col("reason") == COMPETITION_UNREADABLE, F.col("competition_url"))
+        .when(F.col("reason").startswith("away team"), F.col("away_url"))
+        .when(F.col("reason").startswith("home team"), F.col("home_url"))
+        .when(F.col("reason") == ODDS_UNREADABLE, F.col("odds_url"))
+        .otherwise(F.col("event_url"))
+    )
+    errors = outcomes.filter(F.col("disposition") == ERROR).select(
+        *scope, "sport", "event_url", "event_date", "reason", blamed.alias("document_url"))
+    keys = [*scope, "document_url"]
+    bodies = documents.select(*scope, F.col("url").alias("document_url"), "page", "body")
+    wanted = errors.select(*keys).distinct()
+    found = bodies.join(small_side(wanted, row_bound), keys, "left_semi")
+    return errors.join(found, keys, "left").select(*errors.columns, "page", "body")
 
 
 def disposition_counts(outcomes: DataFrame) -> DataFrame:
     return outcomes.groupBy("disposition").agg(F.count(F.lit(1)).alias("n"))
 
 
+def disposition_counters() -> dict[str, Column]:
+    """The same as aggregates to be observed while outcomes are written."""
+    return {d: F.count_if(F.col("disposition") == d) for d in (GAME, NO_COMPETITION, NO_DATE, WRONG_DATE, NO_ODDS, ERROR)}
+
+
 def on_local_dates(events: DataFrame, utc_column: str, zone: str, first: date, last: date) -> DataFrame:
     """Rows of a UTC-stamped table whose local date lies in ``first..last``; adds ``local_date``."""
     utc = F.col(utc_column)

@@ -48,16 +48,21 @@ def value_games(flagged: DataFrame) -> DataFrame:
     return flagged.filter(any_value())
 
 
+def opportunity_counters() -> dict[str, Column]:
+    """All games, games with value, and flags per bet type, as aggregates."""
+    spread, total, moneyline = (is_value(F.col(c)) for c in w.FLAG_COLUMNS)
+    return {
+        "total_games": F.count(F.lit(1)),
+        "value_games": F.count_if(any_value()),
+        "spread_opportunities": F.count_if(spread),
+        "total_opportunities": F.count_if(total),
+        "moneyline_opportunities": F.count_if(moneyline),
+    }
+
+
 def opportunity_summary(flagged: DataFrame) -> DataFrame:
     """One row of counts: all games, games with value, and flags per bet type."""
-    spread, total, moneyline = (is_value(F.col(c)) for c in w.FLAG_COLUMNS)
-    return flagged.agg(
-        F.count(F.lit(1)).alias("total_games"),
-        F.count_if(any_value()).alias("value_games"),
-        F.count_if(spread).alias("spread_opportunities"),
-        F.count_if(total).alias("total_opportunities"),
-        F.count_if(moneyline).alias("moneyline_opportunities"),
-    )
+    return flagged.agg(*(count.alias(name) for name, count in opportunity_counters().items()))
 
 
 def ponderations(flagged: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

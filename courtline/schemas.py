@@ -31,6 +31,22 @@ PONDERATIONS = T.StructType(
     + [T.StructField(c, T.StringType()) for c in w.FLAG_COLUMNS]
 )
 
+# What became of every listed event, with the documents that were followed; `fetch` is the landing it belongs to.
+OUTCOMES = T.StructType(
+    [T.StructField(c, T.StringType()) for c in ("fetch", "sport", "event_url")]
+    + [T.StructField("event_date", T.DateType())]
+    + [T.StructField(c, T.StringType()) for c in ("away_team", "home_team")]
+    + [T.StructField(c, T.DoubleType()) for c in w.PRICE_COLUMNS]
+    + [T.StructField(c, T.StringType()) for c in (
+        "disposition", "reason", "competition_url", "away_url", "home_url", "odds_url")])
+
+# Events dropped by an error, with the body to blame.
+REJECTED = T.StructType(
+    [T.StructField(c, T.StringType()) for c in ("sport", "event_url")]
+    + [T.StructField("event_date", T.DateType())]
+    + [T.StructField(c, T.StringType()) for c in ("reason", "document_url")]
+    + [T.StructField("page", T.DecimalType(38, 0)), T.StructField("body", T.StringType())])
+
 # Landed documents: raw bodies by kind.  `page` orders several bodies of one URL.
 DOCUMENTS = "sport string, kind string, url string, page long, body string"
 

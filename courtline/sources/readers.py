@@ -13,13 +13,12 @@ from pyspark.sql.types import StructType
 from courtline import schemas
 from courtline import wording as w
 from courtline.sources import commits
-from courtline.sources.commits import Commit
+from courtline.sources.commits import Written
 
 _SNAPSHOT_NAME = r"([^/]+)_odds_(\d{8}_\d{4})\.csv"
 
 
 _ODDS_TABLE = StructType(list(schemas.ODDS.fields)).add("snapshot_ts", "timestamp_ntz").add("snapshot_date", "date")
-_SPORT = StructType([schemas.ODDS["sport"]])
 # What a path pattern gives a meaning of its own.
 _PATTERN = re.compile(r"([\\\[\]{}*?])")
 
@@ -110,33 +109,48 @@ def read_latest_odds(spark: SparkSession, data_dir: str, sport: str = "nba") ->
     return with_snapshot_ts(_read(spark, latest_odds_file(spark, data_dir, sport), "csv", schemas.ODDS))
 
 
-def read_odds_table(spark: SparkSession, path: str, only: Sequence[Commit] | None = None) -> DataFrame:
-    """All snapshots of the table of :func:`courtline.sources.writers.write_odds_snapshot`, or only certain commits of it.
+def read_odds_table(spark: SparkSession, path: str, only: Sequence[Written] | None = None) -> DataFrame:
+    """All snapshots of the table of :func:`courtline.sources.writers.write_odds_snapshot`, or only certain writes of it.
 
     Only committed snapshots are read, of a snapshot written again the newest version.
     """
     if only is not None:
-        found = commits.committed_runs(spark, path, _ODDS_TABLE, only, ("sport",))
+        found = commits.written_rows(spark, path, _ODDS_TABLE, only)
     else:
         found = commits.committed(spark, path, _ODDS_TABLE)
     return found.withColumnRenamed("part", "snapshot")
 
 
 def newest_snapshots(spark: SparkSession, path: str) -> DataFrame:
-    """``sport``, its newest ``part`` (snapshot), ``run`` and ``rows``: an aggregate over the manifest, no table file is opened.
+    """The manifest's rows of the newest snapshot of each sport: an aggregate over the manifest, no table file is opened.
 
     A missing sport is a sport like any other, and so is the empty text.
     """
-    entry = F.struct("part", "run", "rows")
-    return commits.current(spark, path, _SPORT).groupBy("sport").agg(F.max(entry).alias("newest")).select("sport", "newest.*")
+    sport = F.col("keys")["sport"]
+    newest = commits.current(spark, path, commits.ROWS).groupBy(sport.alias("sport_key")).agg(
+        F.max(F.struct("part", "run", "rows")).alias("newest"))
+    return newest.select(commits.text_of(F.col("sport_key")).alias("sport"), "newest.*",
+                         F.create_map(F.lit("sport"), F.col("sport_key")).alias("keys"))
 
 
 def read_newest_odds(spark: SparkSession, path: str) -> DataFrame:
     """The newest snapshot of each sport from the odds table; other partitions are not read."""
-    found = commits.committed(spark, path, _ODDS_TABLE, ("sport",), newest_snapshots(spark, path))
+    found = commits.committed(spark, path, _ODDS_TABLE, commits.ROWS, ("sport",), newest_snapshots(spark, path))
     return found.withColumnRenamed("part", "snapshot")
 
 
+def read_outcomes(spark: SparkSession, path: str, only: Sequence[Written] | None = None) -> DataFrame:
+    """What became of every listed event of all landings, or only of certain writes."""
+    if only is not None:
+        return commits.written_rows(spark, path, schemas.OUTCOMES, only).drop("part")
+    return commits.committed(spark, path, schemas.OUTCOMES).drop("part")
+
+
+def read_rejected(spark: SparkSession, path: str) -> DataFrame:
+    """The quarantine of all landings; ``part`` names the landing."""
+    return commits.committed(spark, path, schemas.REJECTED)
+
+
 def read_ponderations(spark: SparkSession, path: str, format_: str = "csv") -> DataFrame:
     return _read(spark, path, format_, schemas.PONDERATIONS)
 
