@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from courtline.llm import decontamination, exact_dedup, near_copies, packing, toxicity
+from courtline.llm import decontamination, exact_dedup, packing, simhash, toxicity
 from courtline.llm.common import written
 from courtline.llm.queries import table, tokenizer_path
 
@@ -24,8 +24,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the smallest id."""
-    return near_copies.drop_near_copies(docs, width=5)
+    """One document of each class of fingerprints within 4 bits stays, the one with the smallest id."""
+    return simhash.drop_near_copies(docs, width=4, radius=4)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
