@@ -5,7 +5,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
+import corpus_pipeline
 from courtline.llm import simhash
 from courtline.llm import text_arrays as ta
 from courtline.llm.components import components
@@ -116,6 +118,16 @@ def test_drop_keeps_the_smallest_id_of_each_class(docs):
     assert sorted((r.doc_id for r in kept.collect()), key=str) == [3, 7, 9, None]
 
 
+def test_the_pipelines_stage_against_brute_force(spark, docs):
+    rows = near_texts(9, 30)
+    fp = {i: brute_fingerprint(x) for i, x in rows}
+    want = brute_components(fp, [(a, b) for a in fp for b in fp if (fp[a] ^ fp[b]).bit_count() <= 4])
+    kept = corpus_pipeline.drop_near_copies(spark, docs(rows).withColumn("a.b", F.lit(1)), "")
+    assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars", "a.b"]
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values()))
+    assert len(set(want.values())) < len(rows)
+
+
 def test_empty_table(docs):
     assert simhash.classes(docs([])).collect() == [] and simhash.drop_near_copies(docs([])).collect() == []
 
