@@ -230,11 +230,11 @@ def good_patterns(found: DataFrame, settings: Settings = Settings()) -> DataFram
         good = written(best, "patterns")
         if good.isEmpty():
             return good
-        lifted = look_up(edges, good, "pattern", ["kind", "share"], "n", total, F.col("value"))
+        lifted = look_up(edges, good, "pattern", ["kind", "share"], None, total, F.col("value"))
         values = lifted.filter("kind is not null and seed_kind is null").groupBy("value").agg(
             F.max(F.struct("share", -F.col("kind"))).alias("b")).select(
             "value", (-F.col("b.col2")).alias("kind"), F.col("b.share").alias("weight")).join(degree, "value")
-        learned = look_up(edges.select("pattern", "value", "seed_kind"), values, "value", ["kind", "weight"], "degree",
+        learned = look_up(edges.select("pattern", "value", "seed_kind"), values, "value", ["kind", "weight"], None,
                           total, F.col("pattern"))
         belief = written(learned.select(
             "pattern", "value", F.coalesce("seed_kind", "kind").alias("kind"),
@@ -254,8 +254,8 @@ def spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     good = good_patterns(rows, settings)
     places = rows.select("row_key", F.explode("others").alias("s")).select(
         "row_key", "s.start", "s.end", "s.value", F.explode(_contexts(F.col("s.left"), F.col("s.right"))).alias("pattern"))
-    total = good.agg(F.sum("n")).first()[0] or 1
-    hits = look_up(places, good, "pattern", ["kind", "share"], "n", total, F.col("row_key")).filter("kind is not null")
+    total = max(1, places.count())
+    hits = look_up(places, good, "pattern", ["kind", "share"], None, total, F.col("row_key")).filter("kind is not null")
     best = hits.groupBy("row_key", "start", "end", "value").agg(F.max(F.struct("share", -F.col("kind"))).alias("b"))
     found = best.groupBy("row_key").agg(F.sort_array(F.collect_list(F.struct(
         (-F.col("b.col2")).alias("kind"), "start", "end", "value"))).alias("found"))
