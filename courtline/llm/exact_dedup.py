@@ -54,19 +54,18 @@ def copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     An empty table gives an empty result.  Columns of ``docs`` stay; if one has
     the name of a result column, the result replaces it.
 
-    Runs one pass that writes 40 bytes a row to the shared folder.  The filter is
-    broadcast while its bound (``BITS_PER_ROW`` bits a row) is within
-    ``BROADCAST_BYTES``; beyond, it is joined by a shuffle of its words.
+    Runs one pass that writes 40 bytes a row to the shared folder.  The filter has
+    ``BITS_PER_ROW`` bits a row, but never takes more than ``BROADCAST_BYTES`` as a
+    broadcast table: with more rows than that it lets more of them through to the
+    shuffle by chance, and the result is the same.
     """
     results = ["digest", "keep_id", "group_size", "kept"]
-    docs = docs.drop(*(c for c in results if c not in (id_column, text_column)))
+    docs = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in results or c in (id_column, text_column)))
     narrow = written(with_digest(docs.select(id_column, text_column), text_column).select(
         F.col(id_column).alias("id"), "digest"), "digests")
     total = narrow.count()
-    words = max(1, total * BITS_PER_ROW // 64)
-    marks = repeated_bits(narrow, words)
-    if words * WORD_BYTES <= BROADCAST_BYTES:
-        marks = F.broadcast(marks)
+    words = max(1, min(total * BITS_PER_ROW, BROADCAST_BYTES // WORD_BYTES * 64) // 64)
+    marks = F.broadcast(repeated_bits(narrow, words))
 
     def possible(rows: DataFrame) -> tuple[DataFrame, Column]:
         word, first, second = _probe(F.col("digest"), words)
@@ -84,9 +83,10 @@ def copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     else:
         rows = with_digest(docs, text_column)
     marked, again = possible(rows)
+    every = [F.col(f"`{c}`") for c in rows.columns]
     through = marked.filter(~again).select(
-        *rows.columns, F.col(id_column).alias("keep_id"), F.lit(1).cast("long").alias("group_size"))
-    shuffled = look_up(marked.filter(again).select(*rows.columns), groups, "digest",
+        *every, F.col(id_column).alias("keep_id"), F.lit(1).cast("long").alias("group_size"))
+    shuffled = look_up(marked.filter(again).select(*every), groups, "digest",
                        ["keep_id", "group_size"], "group_size", total, F.col(id_column))
     return through.unionByName(shuffled).withColumn("kept", F.col(id_column).eqNullSafe(F.col("keep_id")))
 

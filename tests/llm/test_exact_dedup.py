@@ -30,9 +30,18 @@ def test_many_rows_with_a_hot_text(docs):
     assert found(copies(docs(rows))) == brute(rows)
 
 
-def test_filter_joined_by_shuffle_gives_the_same(docs, monkeypatch):
-    monkeypatch.setattr(exact_dedup, "BROADCAST_BYTES", 0)
-    assert found(copies(docs(ROWS))) == brute(ROWS)
+def test_a_crowded_filter_gives_the_same_by_the_same_plan(docs, monkeypatch):
+    rows = [(i, f"text {i // 2}" if i < 400 else f"alone {i}") for i in range(1200)]
+    roomy = copies(docs(rows))
+    monkeypatch.setattr(exact_dedup, "BROADCAST_BYTES", 2 * exact_dedup.WORD_BYTES)
+    crowded = copies(docs(rows))
+    assert found(crowded) == found(roomy) == brute(rows)
+
+    def joins(df):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        return plan.count("Join LeftOuter"), plan.count("strategy=broadcast")
+
+    assert joins(crowded) == joins(roomy)
 
 
 def test_rows_that_set_bits_alone_are_not_shuffled(docs):
@@ -41,6 +50,7 @@ def test_rows_that_set_bits_alone_are_not_shuffled(docs):
 
 
 def test_drop_keeps_the_largest_id_and_all_columns(docs):
+    assert found(copies(docs(ROWS).withColumn("a.b", F.lit(1)))) == brute(ROWS)
     kept = drop_copies(docs(ROWS).withColumns({"digest": F.lit("x"), "kept": F.lit(1), "id": F.lit(2), "row": F.lit(3)}))
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars", "digest", "kept", "id", "row"]
     rows = kept.collect()
