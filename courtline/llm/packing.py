@@ -159,11 +159,9 @@ def dominating(counts: np.ndarray, capacity: int) -> list[Pattern]:
                     times = int(counts[large]) // 2
                     content = ((large, 2),)
                 else:
+                    # All at once: with fewer items left, still no two fit beside the large one.
                     times = int(min(counts[large], counts[partner]))
                     content = ((large, 1), (partner, 1))
-                    if partner != room:
-                        # One at a time for as long as the reason holds: the smallest items may be the partners.
-                        times = 1 if partner in (smallest, second) else times
                 fixed.append(Pattern(content, times))
                 for length, copies in content:
                     counts[length] -= copies * times

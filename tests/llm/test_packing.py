@@ -1,5 +1,7 @@
 import random
+import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -76,6 +78,45 @@ def test_best_fit_takes_the_tightest_room():
     assert sorted((p.content, p.times) for p in best_fit(counts, 10)) == [(((5, 1), (3, 1)), 1), (((6, 1), (4, 1)), 1)]
 
 
+def test_the_plan_does_not_grow_with_the_documents():
+    counts = np.zeros(2049, np.int64)
+    counts[[1500, 500]] = 10**9
+    began = time.time()
+    assert len(plan(counts)["length"]) < 100 and time.time() - began < 1
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_many_sets_at_once_are_those_of_one_at_a_time(seed):
+    rng = random.Random(seed)
+    capacity = rng.choice([10, 20])
+    lengths = [rng.choice([rng.randint(1, capacity), capacity * 3 // 4, capacity // 4]) for _ in range(60)]
+
+    def one_at_a_time(counts):
+        """The same rules, a single set in each step."""
+        while True:
+            for large in [int(x) for x in np.flatnonzero(counts)[::-1]]:
+                counts[large] -= 1
+                beside = [int(x) for x in np.flatnonzero(counts[:capacity - large + 1])]
+                items = [x for x in np.flatnonzero(counts) for _ in range(counts[x])][:2]
+                if not beside:
+                    yield (large,)
+                    break
+                if beside[-1] == capacity - large or len(items) < 2 or sum(items) > capacity - large:
+                    counts[beside[-1]] -= 1
+                    yield (large, beside[-1])
+                    break
+                counts[large] += 1
+            else:
+                return
+
+    a, b = histogram(lengths, capacity), histogram(lengths, capacity)
+    single = Counter(one_at_a_time(a))
+    many = Counter()
+    for p in dominating(b, capacity):
+        many[tuple(n for n, copies in p.content for _ in range(copies))] += p.times
+    assert many == single and (a == b).all()
+
+
 def test_cuts():
     assert cuts(5, 4) == [(0, 1), (1, 4)] and cuts(8, 4) == [(0, 4), (4, 4)] and cuts(4, 4) == [(0, 4)] and cuts(1, 4) == [(0, 1)]
 
