@@ -22,7 +22,7 @@ from pyspark.sql.functions import ArrowUDFType
 from courtline.llm import text_arrays as ta
 from courtline.llm.common import remainder, text_or_empty
 
-DIMENSIONS = 512
+DIMENSIONS = 1024
 GRAM = 3
 # Symbols that letters are folded to; 0 stands for everything that is no letter.
 SYMBOLS = 64
