@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from courtline.llm.url_reputation import SUFFIXES
+
 OP6_EXACT_DEDUP = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 g AS (SELECT text, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY text)
@@ -10,7 +12,9 @@ SELECT d.doc_id, g.keep_id, g.group_size,
 FROM d JOIN g ON d.text = g.text
 """
 
-OP3_HOST_REPUTATION = """
+_SUFFIXES = ", ".join(f"'{s}'" for s in SUFFIXES)
+
+OP3_HOST_REPUTATION = f"""
 WITH p AS (
   SELECT page_id, translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)([^?#]*)', 1, 's'),
                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
@@ -19,10 +23,15 @@ WITH p AS (
 o AS (
   SELECT doc_id, min(CASE WHEN quality = 1 AND coalesce(toxic, 0) = 0 THEN 1 WHEN quality IS NOT NULL OR coalesce(toxic, 0) <> 0 THEN 0 END) AS good
   FROM labels GROUP BY doc_id),
+n AS (
+  SELECT *, string_split(regexp_extract(host, '^(?:.*@)?(.*?)\\.?(?::[0-9]*)?$', 1, 's'), '.') AS labels,
+         array_to_string(labels[-2:], '.') IN ({_SUFFIXES}) AS two
+  FROM p),
 h AS (
-  SELECT host, array_to_string(string_split(host, '.')[-2:], '.') AS domain, string_split(host, '.')[-1] AS suffix,
+  SELECT host, array_to_string(labels[CASE WHEN two THEN -3 ELSE -2 END:], '.') AS domain,
+         array_to_string(labels[CASE WHEN two THEN -2 ELSE -1 END:], '.') AS suffix,
          count(good) AS n, coalesce(sum(good), 0) AS good
-  FROM p LEFT JOIN o ON p.page_id = o.doc_id GROUP BY host),
+  FROM n LEFT JOIN o ON n.page_id = o.doc_id GROUP BY host, domain, suffix),
 d AS (SELECT domain, any_value(suffix) AS suffix, sum(n) AS n, sum(good) AS good FROM h GROUP BY domain),
 s AS (SELECT suffix, sum(n) AS n, sum(good) AS good FROM d GROUP BY suffix),
 sums AS (

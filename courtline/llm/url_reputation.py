@@ -34,12 +34,25 @@ class Rule:
         return self.host + self.path
 
 
+# Common public suffixes of two labels, below which domains are registered.
+SUFFIXES = (
+    "ac.uk", "co.uk", "gov.uk", "me.uk", "org.uk", "com.au", "net.au", "org.au", "co.nz", "org.nz", "co.za", "org.za",
+    "co.jp", "ne.jp", "or.jp", "co.kr", "or.kr", "com.cn", "net.cn", "org.cn", "com.hk", "com.tw", "com.sg", "com.my",
+    "co.in", "net.in", "org.in", "co.id", "co.th", "com.vn", "com.ph", "com.br", "net.br", "org.br", "com.ar", "com.mx",
+    "com.co", "com.pe", "com.tr", "co.il", "com.sa", "com.eg", "com.ng", "co.ke", "com.ua", "com.pl", "com.gr", "com.es",
+)
+
+
 @dataclass(frozen=True)
 class Filter:
-    """Block where the upper ``z`` bound of the good rate is below ``min_good``."""
+    """Block where the upper ``z`` bound of the good rate is below ``min_good``.
+
+    ``suffixes`` are the public suffixes of two labels; any other suffix is the last label.
+    """
 
     min_good: float = 0.5
     z: float = 1.645
+    suffixes: tuple[str, ...] = SUFFIXES
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -60,13 +73,21 @@ def rule_of(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Column,
     return text, verdict
 
 
-def domain_of(host: Column) -> Column:
-    """The registered domain: the last two labels."""
-    return F.substring_index(host, ".", -2)
+def site_of(host: Column) -> Column:
+    """The host's name alone: without user, port and a closing dot."""
+    return F.regexp_extract(host, r"(?s)^(?:.*@)?(.*?)\.?(?::[0-9]*)?$", 1)
+
+
+def domain_of(host: Column, suffixes: Sequence[str] = SUFFIXES) -> Column:
+    """The registered domain: the public suffix and the label before it, if there is one."""
+    site = site_of(host)
+    two = F.substring_index(site, ".", -2)
+    return F.when(two.isin(list(suffixes)), F.substring_index(site, ".", -3)).otherwise(two)
 
 
-def suffix_of(host: Column) -> Column:
-    return F.substring_index(host, ".", -1)
+def suffix_of(domain: Column, suffixes: Sequence[str] = SUFFIXES) -> Column:
+    two = F.substring_index(domain, ".", -2)
+    return F.when(two.isin(list(suffixes)), two).otherwise(F.substring_index(domain, ".", -1))
 
 
 def prior(groups: DataFrame) -> tuple[float, float]:
@@ -100,9 +121,10 @@ def reputations(outcomes: DataFrame, settings: Filter = Filter()) -> DataFrame:
     hosts = outcomes.groupBy("host").agg(
         F.count(F.lit(1)).alias("pages"), F.count("good").alias("n"),
         F.sum(F.coalesce(F.col("good").cast("long"), F.lit(0))).alias("good"))
-    hosts = written(hosts.withColumn("domain", domain_of(F.col("host"))), "hosts")
+    hosts = written(hosts.withColumn("domain", domain_of(F.col("host"), settings.suffixes)), "hosts")
     sums = [F.sum(c).alias(c) for c in ("pages", "n", "good")]
-    domains = hosts.groupBy("domain").agg(*sums).withColumn("suffix", suffix_of(F.col("domain")))
+    domains = hosts.groupBy("domain").agg(*sums).withColumn(
+        "suffix", suffix_of(F.col("domain"), settings.suffixes))
     suffixes = domains.groupBy("suffix").agg(*sums)
     mean, strength = prior(suffixes)
     _, domain_strength = prior(domains)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from courtline.llm.queries import URL_RULES
-from courtline.llm.url_reputation import STRENGTH, Filter, judge, split_url
+from courtline.llm.url_reputation import STRENGTH, SUFFIXES, Filter, domain_of, judge, site_of, split_url, suffix_of
 
 
 def brute_split(url):
@@ -22,6 +22,16 @@ URLS = ["https://WWW.Example.COM/en/1?x#y", "http://a.example.com/en/2", "http:/
         None, "http://net/fr/", "x://", "http://É.net/fr/1\n2", "https://u:p@h.org:80?q=/en/", "http://com", "http://com/", "a://b://c/d"]
 
 
+def brute_levels(host):
+    """Registered domain and public suffix."""
+    site = host.rsplit("@", 1)[-1]
+    head, colon, port = site.rpartition(":")
+    site = head if colon and all(c in "0123456789" for c in port) else site
+    labels = (site[:-1] if site.endswith(".") else site).split(".")
+    two = ".".join(labels[-2:]) in SUFFIXES
+    return ".".join(labels[-3 if two else -2:]), ".".join(labels[-2 if two else -1:])
+
+
 def brute_rule(host, path):
     fits = [r for r in URL_RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
     return max(fits, key=lambda r: len(r.text), default=None)
@@ -54,7 +64,7 @@ def brute(pages, labels):
             host_n[h][0] += 1
             host_n[h][1] += outcome[i]
     for h, (n, g) in host_n.items():
-        for name, level in ((".".join(h.split(".")[-2:]), domains), (h.split(".")[-1], suffixes)):
+        for name, level in zip(brute_levels(h), (domains, suffixes), strict=True):
             level[name][0] += n
             level[name][1] += g
     mean, strength = brute_prior(suffixes.values())
@@ -62,9 +72,9 @@ def brute(pages, labels):
     out = []
     for i, url in pages:
         h, path = brute_split(url)
-        n, g = suffixes[h.split(".")[-1]]
+        n, g = suffixes[brute_levels(h)[1]]
         rate = (g + strength * mean) / (n + strength)
-        n, g = domains[".".join(h.split(".")[-2:])]
+        n, g = domains[brute_levels(h)[0]]
         rate = (g + by_domain * rate) / (n + by_domain)
         n, g = host_n[h]
         rate = (g + by_host * rate) / (n + by_host)
@@ -83,16 +93,26 @@ def test_hosts_and_paths(spark):
 @pytest.mark.parametrize("with_labels", [True, False])
 def test_against_brute_force(spark, labels, with_labels):
     pages = [(i, u) for i, u in enumerate(URLS)] + [(100 + i, f"http://h{i % 7}.d{i % 3}.org/{i}") for i in range(200)] + [(None, "http://x.org"), (101, "http://h1.d1.org/again")]
-    marked = [(i, int(i % 7 != 3 and i % 5 > 0), int(i % 11 == 0)) for i in range(100, 290)] + [(101, 0, None), (102, None, 0), (None, 1, 0)] if with_labels else []
-    df = spark.createDataFrame([(i, u, "kept", "old") for i, u in pages], "page_id long, url string, extra string, verdict string")
+    pages += [(300 + i, f"http://u@{'ab'[i % 2]}.s{i % 5}.co.uk{':8080' * (i % 3 == 0)}{'.' * (i % 3 == 1)}/{i}") for i in range(60)]
+    marked = [(i, int(i % 7 != 3 and i % 5 > 0), int(i % 11 == 0)) for i in range(100, 350)] + [(101, 0, None), (102, None, 0), (None, 1, 0)] if with_labels else []
+    df = spark.createDataFrame([(i, u, "kept", "old") for i, u in pages], "page_id long, url string, `a.b` string, verdict string")
     got = judge(df, labels(marked), URL_RULES)
-    assert got.columns == ["page_id", "url", "extra", "host", "path", "rate", "bound", "rule", "verdict"]
+    assert got.columns == ["page_id", "url", "a.b", "host", "path", "rate", "bound", "rule", "verdict"]
     rows = sorted(((r.page_id, r.host, r.path, r.rule, r.verdict, round(r.bound, 9)) for r in got.collect()), key=str)
     assert rows == brute(pages, marked)
     if with_labels:
         assert {r[4] for r in rows if r[3] is None} == {"allow", "block"}
 
 
+def test_registered_domains(spark):
+    want = {"a.foo.co.uk": ("foo.co.uk", "co.uk"), "b.bar.co.uk": ("bar.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "h.com:8080": ("h.com", "com"),
+            "u:p@w.h.com:80": ("h.com", "com"), "h.com.": ("h.com", "com"), "localhost": ("localhost", "localhost"), "": ("", ""), "x.com:y": ("x.com:y", "com:y")}
+    rows = spark.createDataFrame([(h,) for h in want], "h string").select("h", domain_of(F.col("h")), suffix_of(domain_of(F.col("h")))).collect()
+    assert {r[0]: (r[1], r[2]) for r in rows} == want == {h: brute_levels(h) for h in want}
+    own = spark.createDataFrame([("a.b.x.y",)], "h string").select(domain_of(site_of(F.col("h")), ["x.y"]))
+    assert own.first()[0] == "b.x.y"
+
+
 def test_few_bad_pages_do_not_condemn_a_host(spark, labels):
     pages = spark.createDataFrame([(i, "http://bad.org/" if i < 50 else "http://new.org/" if i < 52 else "http://good.org/") for i in range(200)], "page_id long, url string")
     marked = labels([(i, int(i >= 52), 0) for i in range(200)])
