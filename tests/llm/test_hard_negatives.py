@@ -1,0 +1,139 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from courtline.llm import hard_negatives as hn
+from courtline.llm.hard_negatives import Ball, Sphere, cover_tree, exact_products, first_copies, mine, net
+
+COLUMNS = "anchor_id positive_id rank negative_id positive_score negative_score".split()
+
+
+def brute(rows, every=5, positives=5, negatives=3):
+    taking_part = set()
+    for i, vec, label in rows:
+        if i is not None and label is not None and vec is not None and all(x is not None and math.isfinite(x) for x in vec):
+            taking_part.add((i, label, tuple(math.floor(256 * x) for x in vec)))
+    out = []
+    for anchor in taking_part:
+        if anchor[0] % every:
+            continue
+        scored = sorted((-sum(a * b for a, b in zip(anchor[2], r[2])), r[0], r) for r in taking_part if r != anchor)
+        for p, i, _ in [s for s in scored if s[2][1] == anchor[1]][:positives]:
+            hard = [s for s in scored if s[2][1] != anchor[1] and 50 * -p <= 100 * -s[0] <= 95 * -p][:negatives]
+            out += [(anchor[0], i, k, s[1], -p, -s[0]) for k, s in enumerate(hard, 1)]
+    return sorted(out)
+
+
+def found(spark, rows, every=5, **settings):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").withColumns({"a.b": F.lit(1), "score": F.lit(2), "key": F.lit(3)})
+    got = mine(df, F.col("vec_id") % every == 0, **settings)
+    assert got.columns == COLUMNS
+    return sorted(tuple(r) for r in got.collect())
+
+
+def clustered(rng, n, width, spread):
+    centres = [[rng.gauss(0, 1) for _ in range(width)] for _ in range(6)]
+    return [(i, [x + rng.gauss(0, spread) for x in rng.choice(centres)], rng.randrange(4)) for i in range(n)]
+
+
+@pytest.mark.parametrize("spread", [0.05, 1.0])
+def test_against_brute_force(spark, monkeypatch, spread):
+    monkeypatch.setattr(hn, "LEAF_ROWS", 8)
+    monkeypatch.setattr(hn, "BLOCK_ROWS", 40)
+    monkeypatch.setattr(hn, "CHUNK_ANCHORS", 30)
+    rows = clustered(random.Random(1), 400, 8, spread)
+    got = found(spark, rows)
+    assert got == brute(rows) and len(got) > 500
+
+
+def test_ties_copies_and_odd_rows(spark):
+    rng = random.Random(2)
+    rows = [(i, [rng.choice([-1.0, 0.0, 0.5, 1.0]) for _ in range(3)], rng.randrange(3)) for i in range(150)]
+    rows += [(1000 + i, [1.0, 1.0, 0.5], 0 if i % 2 else 1) for i in range(120)]         # a common vector, different ids
+    rows += [rows[0], rows[0], (0, [0.5, 0.5, 0.5], 1), (5, rows[5][1], 2)]               # repeated rows, repeated ids
+    rows += [(7000, None, 1), (7005, [1.0, None, 1.0], 1), (7010, [1.0, math.nan, 0.0], 1), (7015, [math.inf, 0.0, 0.0], 1), (7020, [1.0, 1.0, 1.0], None)]
+    rows += [(7025, [], 1), (7030, [1.0], 2), (7035, [1.0, 0.0, 0.0, 4.0], 1), (None, [1.0, 1.0, 1.0], 1), (-10, [0.0, 0.0, 0.0], 1), (-5, [-1.0, -1.0, 1.0], 2)]
+    assert found(spark, rows) == brute(rows)
+
+
+def test_other_numbers_of_positives_and_negatives(spark):
+    rows = clustered(random.Random(3), 150, 4, 0.5)
+    assert found(spark, rows, positives=2, negatives=7) == brute(rows, positives=2, negatives=7)
+
+
+def test_too_few_rows_and_empty_tables(spark):
+    assert found(spark, []) == []
+    assert found(spark, [(0, [1.0], 1)]) == []
+    assert found(spark, [(0, [1.0], 1), (1, [1.0], 2), (2, [2.0], 1)]) == brute([(0, [1.0], 1), (1, [1.0], 2), (2, [2.0], 1)])
+    assert found(spark, [(1, [1.0], 1), (2, [1.0], 2)]) == []      # no anchor
+
+
+def test_large_components_are_exact(spark):
+    rng = random.Random(4)
+    rows = [(i, [rng.uniform(-1, 1) * 2.0**22 for _ in range(4)], rng.randrange(3)) for i in range(80)]
+    assert found(spark, rows) == brute(rows)
+    huge = exact_products(np.array([[2.0**60, 1.0]]), np.array([[2.0**60, 1.0], [-(2.0**60), 0.0], [3.0, 5.0]]))
+    assert huge.tolist() == [[hn.LARGEST, hn.SMALLEST, 3 * 2**60 + 5]]
+
+
+@pytest.mark.parametrize("spread", [0.0, 0.02, 3.0])
+def test_cover_tree_and_its_bounds(spread):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(5, 6))[rng.integers(0, 5, 600)] + spread * rng.normal(size=(600, 6))
+    sphere = Sphere(float(np.sqrt((x * x).sum(axis=1).max())) * (1 + 1e-9), 6)
+    u = sphere.lifted(x)
+    order, balls = cover_tree(u)
+    assert sorted(order.tolist()) == list(range(600)) and balls[0][:2] == (0, 600)
+    q = rng.normal(size=(20, 6))
+    low, high = sphere.bounds(u[order[[b.first for b in balls]]], np.array([b.angle for b in balls]), q)
+    score = x[order] @ q.T
+    for k, b in enumerate(balls):
+        inside = score[b.first:b.end]
+        assert (inside.min(axis=0) >= low[k] - 1e-9).all() and (inside.max(axis=0) <= high[k] + 1e-9).all()
+        below, at = [], k + 1
+        while at < b.after:
+            below.append(balls[at])
+            at = balls[at].after
+        assert not below or [(c.first, c.end) for c in below] == list(zip(
+            [b.first, *(c.end for c in below[:-1])], [*(c.end for c in below[:-1]), b.end], strict=True))
+        assert len(below) <= hn.FANOUT and all(c.angle <= b.angle + 1e-6 or spread for c in below)
+
+
+def test_a_net_covers_and_keeps_apart():
+    rng = np.random.default_rng(6)
+    u = rng.normal(size=(300, 4))
+    u /= np.sqrt((u * u).sum(axis=1))[:, None]
+    chosen, which = net(u, 20)
+    reach = max(hn.angles(u[which == k], u[c]).max() for k, c in enumerate(chosen))
+    apart = min(hn.angles(u[chosen[k + 1:]], u[c]).min() for k, c in enumerate(chosen[:-1]))
+    assert len(chosen) == 20 and reach <= apart
+
+
+def test_balls_outside_the_windows_are_skipped(monkeypatch):
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(40, 16)) * 100
+    x = np.floor(centres[rng.integers(0, 40, 8000)] + rng.normal(size=(8000, 16)))
+    sphere = Sphere(float(np.sqrt((x * x).sum(axis=1).max())) * (1 + 1e-9), 16)
+    order, balls = cover_tree(sphere.lifted(x))
+    ids = np.arange(8000)
+    block = hn.Block(ids, ids % 3, ids, x[order], balls)
+    compared = []
+    monkeypatch.setattr(hn, "exact_products", lambda a, b: compared.append(len(a) * len(b)) or exact_products(a, b))
+    q = x[:10]
+    wanted = hn.Wanted(np.arange(10), np.full(10, hn.SMALLEST), np.full(10, hn.LARGEST), np.full(10, hn.SMALLEST))
+    w, r, s = hn.search(block, sphere, q, np.zeros(10), np.full(10, -1), wanted, True, 5)
+    for k in range(10):
+        mine_ = sorted(((-v, i) for i, v in zip(r[w == k].tolist(), s[w == k].tolist(), strict=True)))
+        want = sorted((-int(v), i) for i, v in enumerate(block.x @ q[k]) if i % 3 == 0)[:5]
+        assert mine_ == want
+    assert sum(compared) < 0.2 * 8000 * 10
+
+
+def test_only_the_first_copies_of_a_vector_and_label_are_kept():
+    x = np.array([[1.0, 2.0], [1.0, 2.0], [1.0, 2.0], [3.0, 4.0], [1.0, 2.0]])
+    labels, ids = np.array([0, 0, 0, 0, 1]), np.array([9, 3, 5, 7, 1])
+    assert first_copies(x, labels, ids, ids, 2).tolist() == [1, 2, 3, 4]
+    assert Ball(0, 1, 0.0, 1).end == 1

@@ -1,0 +1,128 @@
+import hashlib
+import os
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from courtline.llm import periodic_runs
+from courtline.llm.periodic_runs import longest, runs_of, scan, surviving, with_runs
+from courtline.llm.queries import QUERIES
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def brute(words):
+    """Every lag, every stretch; a period is the smallest if no smaller lag holds throughout."""
+    found, n = [], len(words)
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i + q < n:
+            if words[i] != words[i + q]:
+                i += 1
+                continue
+            end = i
+            while end + q < n and words[end] == words[end + q]:
+                end += 1
+            length = end - i + q
+            stretch = words[i:i + length]
+            if length >= max(6, 4 * q) and not any(stretch[r:] == stretch[:-r] for r in range(1, q)):
+                found.append((i, length, q))
+            i = end
+    return sorted(found, key=lambda r: (r[0], r[2]))
+
+
+def brute_collapsed(words, runs):
+    dropped = {i for s, n, q in runs for i in range(s + q, s + n)}
+    return b" ".join(w for i, w in enumerate(words) if i not in dropped)
+
+
+def random_words(rng):
+    kinds = rng.randint(1, 5)
+    words = [b"%d" % rng.randint(0, kinds) for _ in range(rng.randint(0, 60))]
+    for _ in range(rng.randrange(3)):
+        at = rng.randint(0, len(words))
+        words[at:at] = ([b"%d" % rng.randint(0, kinds + 3) for _ in range(rng.randint(1, 7))] * 9)[:rng.randint(3, 50)]
+    return words
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_runs_against_brute_force(seed):
+    rng = random.Random(seed)
+    for _ in range(60):
+        texts = [random_words(rng) for _ in range(rng.randint(1, 5))]
+        assert runs_of(texts) == [brute(w) for w in texts]
+
+
+def test_edges_of_a_run():
+    assert runs_of([[b"a"] * 5, [b"a"] * 6, [b"a", b"b"] * 3 + [b"a"], [b"a", b"b"] * 4, [], [b"x"]]) == [[], [(0, 6, 1)], [], [(0, 8, 2)], [], []]
+    assert runs_of([[b"a", b"b"] * 4 + [b"a", b"c"]]) == [[(0, 9, 2)]]
+    # One run's end may be another one's start; a run of a run is one run.
+    assert runs_of([[b"a"] * 6 + [b"b", b"a"] * 4]) == [[(0, 6, 1), (5, 9, 2)]]
+    assert runs_of([[b"a", b"a", b"b"] * 8]) == [[(0, 24, 3)]]
+
+
+def test_rare_words_split_until_nothing_changes():
+    codes = np.array([1, 2] * 4 + [9] + [3, 3, 3, 4, 4, 4, 4, 3] + [1, 2, 5])
+    assert surviving(codes, np.zeros(len(codes), np.int64)) == [(0, 8), (9, 17)]
+    assert surviving(np.array([1, 2, 3] * 3), np.zeros(9, np.int64)) == []
+    assert surviving(np.array([1] * 12), np.repeat([0, 1], 6)) == [(0, 6), (6, 12)]
+    assert surviving(np.zeros(0, np.int64), np.zeros(0, np.int64)) == []
+
+
+def test_equal_block_hashes_of_different_words_give_no_run(monkeypatch):
+    monkeypatch.setattr(periodic_runs.ta, "mix", lambda h: np.ones(len(h), np.uint64))
+    rng = random.Random(4)
+    for _ in range(100):
+        words = random_words(rng)
+        assert scan(np.array([int(w) for w in words], np.int64)) == brute(words)
+
+
+def test_long_texts_take_little_more_than_linear_time():
+    assert scan(np.zeros(300_000, np.int64)) == [(0, 300_000, 1)]
+    assert scan(np.tile(np.arange(50_000), 5)) == [(0, 250_000, 50_000)]
+
+
+def test_texts_of_a_table(spark, docs):
+    long_text = "lorem ipsum " * 60_000
+    rows = [(1, None), (2, ""), (3, " \t\n"), (4, "a a a a a a b"), (4, "a a a a a a b"), (None, "x y x y x y x y"), (5, long_text),
+            (6, "é é\u00a0é é é é é é"), (7, "A a A a A a A a  A"), (8, "a\x1ca a a a a a a")]
+    got = with_runs(docs(rows).withColumns({"repeated": F.lit("old"), "runs": F.lit("kept"), "a.b": F.lit(1)}))
+    assert set(got.columns) == {"doc_id", "text", "lang", "source", "n_chars", "repeated", "runs", "a.b"}
+    for r in got.collect():
+        words = re.findall(rb"[^\x20\x09-\x0D]+", (r.text or "").encode())
+        found = [tuple(x) for x in r.repeated.runs]
+        assert r.repeated.n_words == len(words) and r.runs == "kept"
+        assert found == ([(0, 120_000, 2)] if r.doc_id == 5 else brute(words))
+        assert r.repeated.collapsed.encode() == brute_collapsed(words, found)
+    assert with_runs(docs([])).collect() == []
+
+
+def test_the_longest_run(spark):
+    df = spark.createDataFrame([([(5, 9, 2), (1, 9, 1), (1, 9, 3), (0, 8, 2)],), ([],)], "r array<struct<start:long,length:long,period:long>>")
+    assert [r[0] and tuple(r[0]) for r in df.select(longest(F.col("r"))).collect()] == [(1, 9, 1), None]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
+def test_the_query_against_brute_force(spark):
+    got = {r.doc_id: tuple(r)[1:] for r in QUERIES["op13_periodic_runs"](spark, SF_DIR).collect()}
+    rows = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()
+    assert len(got) == len(rows) and sum(x[0] > 0 for x in got.values()) > 3
+    for i, text in rows:
+        words = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode())
+        n, h = len(words), zlib.crc32(str(i).encode())
+        g = h // 10
+        if h % 10 == 0 and n:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[a + (k - a) % p] if k >= a else words[k] for k in range(n)]
+        if n > 3000:
+            continue
+        runs = brute(words)
+        best = min(runs, key=lambda r: (-r[1], r[0], r[2])) if runs else (None,) * 3
+        lines = "".join(f"{s},{m},{q}\n" for s, m, q in runs)
+        assert got[i] == (len(runs), *best, 1000 * best[1] // best[2] if runs else None, hashlib.sha256(lines.encode()).hexdigest(),
+                          hashlib.sha256(brute_collapsed(words, runs)).hexdigest())
