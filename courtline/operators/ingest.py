@@ -24,7 +24,7 @@ from courtline import schemas
 from courtline import wording as w
 from courtline.functions.dates import event_local_date, local_date_of_utc, utc_window
 from courtline.operators.bounds import fits, small_side
-from courtline.operators.selection import best_offer_of_items, fixed_rank
+from courtline.operators.selection import best_offer_of_items
 
 GAME = "game"
 NO_COMPETITION = "no_competition"
@@ -40,9 +40,6 @@ ODDS_UNREADABLE = "odds missing or unreadable"
 _NO_REFERENCE = "no reference from "
 # Documents behind an event, in the order in which they are followed.
 _HOPS = ("competition", "away", "home", "odds")
-# Offers of one odds body that are told apart when two pages' best ones are as complete.
-_BODY_OFFERS = 10 ** 6
-
 
 def decode(documents: DataFrame, kind: str, body: str, scope: Sequence[str] = ()) -> DataFrame:
     """Documents of one kind with their decoded body and whether it was unreadable.
@@ -214,12 +211,13 @@ def _referenced(documents: DataFrame, kind: str, urls: DataFrame, row_bound: int
 
 def _best_prices(bodies: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     """Best offer per odds URL: chosen within each body already, here across its pages."""
-    index = F.least(F.col("best.index"), F.lit(_BODY_OFFERS - 1))
-    position = F.col("page").cast("decimal(30,0)") * _BODY_OFFERS + index
-    rank = F.when(F.col("best").isNotNull(), fixed_rank(F.col("best.missing"), position))
+    offer = F.when(F.col("best").isNotNull(), F.struct(
+        F.col("best.missing").alias("missing"), F.col("page").isNull().alias("no_page"), "page",
+        F.col("best.index").alias("index"), *(F.col("best")[c].alias(c) for c in w.PRICE_COLUMNS)))
     return bodies.groupBy(*scope, "odds_url").agg(
         F.bool_or("unreadable").alias("odds_unreadable"), F.bool_or(F.col("best").isNotNull()).alias("has_offer"),
-        *(F.min_by(F.col("best")[c], rank).alias(c) for c in w.PRICE_COLUMNS))
+        F.min(offer).alias("best")).select(
+        *scope, "odds_url", "odds_unreadable", "has_offer", *(F.col(f"best.{c}") for c in w.PRICE_COLUMNS))
 
 
 def _key(reference: Column) -> Column:

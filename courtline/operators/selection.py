@@ -4,57 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from datetime import date, timedelta
-from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from courtline import wording as w
 from courtline.functions.odds import filled_fields
 from courtline.operators.bounds import small_side
 
-_INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-# Positions lie below this in size; one more digit in front holds what decides first.
-_POSITIONS = Decimal(10 ** 36)
-
 
 def completeness() -> Column:
     """How many of the four prices an offer carries."""
     return filled_fields(*(F.col(c) for c in w.PRICE_COLUMNS))
 
 
-def fixed_rank(first: Column, position: Column) -> Column:
-    """A fixed-width rank by ``first`` (0..9), then by a whole number; a missing one comes last.
-
-    Such a rank, unlike a struct, can be kept in a hash aggregation's buffer.
-    """
-    placed = F.coalesce(position.cast("decimal(37,0)"), F.lit(_POSITIONS).cast("decimal(37,0)"))
-    return (first.cast("decimal(1,0)") * F.lit(10 * _POSITIONS).cast("decimal(38,0)") + placed).cast("decimal(38,0)")
-
-
-def best_offer(offers: DataFrame, keys: Sequence[str] = ("event_id",), order: Sequence[str] = ("pos",),
-               position: Column | None = None) -> DataFrame:
+def best_offer(offers: DataFrame, keys: Sequence[str] = ("event_id",), order: Sequence[str] = ("pos",)) -> DataFrame:
     """The most complete offer per key; the first in ``order`` among equals, missing positions last.
 
-    An offer without any price still wins if it is the only one.  This is one
-    aggregation with map-side combine, so a key with very many offers sends one
-    row per task.  With one whole-number ``order`` column, or a whole number
-    ``position`` that orders offers as ``order`` does, every buffer is fixed-width
-    and nothing is sorted; otherwise structs are compared, by the same rule.
+    An offer without any price still wins if it is the only one.  Offers that are
+    equal in all that, as with repeated or missing positions, are told apart by
+    their prices, so the result depends on the rows alone.  This is one aggregation
+    with map-side combine, so a key with very many offers sends one row per task.
     """
-    ranked = offers.withColumn("n_fields", completeness())
-    missing = F.lit(len(w.PRICE_COLUMNS)) - F.col("n_fields")
-    picked = [*w.PRICE_COLUMNS, "n_fields", *order]
-    if position is None and len(order) == 1 and isinstance(offers.schema[order[0]].dataType, _INTEGERS):
-        position = F.col(order[0])
-    if position is not None:
-        rank = fixed_rank(missing, position)
-        return ranked.groupBy(*keys).agg(*(F.min_by(c, rank).alias(c) for c in picked))
-    last = [c for o in order for c in (F.col(o).isNull(), F.col(o))]
-    best = F.min_by(F.struct(*picked), F.struct(missing, *last))
-    return ranked.groupBy(*keys).agg(best.alias("best")).select(*keys, "best.*")
+    missing = F.lit(len(w.PRICE_COLUMNS)) - completeness()
+    placed = [c.alias(f"{o}_{k}") for o in order for k, c in enumerate((F.col(o).isNull(), F.col(o)))]
+    best = F.min(F.struct(missing.alias("missing"), *placed, *w.PRICE_COLUMNS))
+    return offers.groupBy(*keys).agg(best.alias("best")).select(
+        *keys, *(F.col(f"best.{c}") for c in w.PRICE_COLUMNS),
+        (F.lit(len(w.PRICE_COLUMNS)) - F.col("best.missing")).alias("n_fields"),
+        *(F.col("best")[f"{o}_1"].alias(o) for o in order))
 
 
 def best_offer_of_items(items: Column) -> Column:
