@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 from courtline import wording as w
 from courtline.functions.odds import filled_fields
-from courtline.operators.bounds import small_side
+from courtline.operators.bounds import BROADCAST_BYTES
+
+# Groups whose extremes may be known to the driver.
+KNOWN_GROUPS = 10_000
 
 
 def completeness() -> Column:
@@ -56,20 +59,21 @@ def best_offer_of_items(items: Column) -> Column:
     return F.array_min(F.transform(items, entry))
 
 
-def keep_extreme(df: DataFrame, by: Sequence[str], column: str, extreme: Callable[[Column], Column],
-                 extremes: DataFrame | None = None) -> DataFrame:
+def keep_extreme(df: DataFrame, by: Sequence[str], column: str, extreme: Callable[[Column], Column]) -> DataFrame:
     """Rows whose ``column`` equals its extreme within their group; null is a group like any other.
 
-    The extremes are one row per group, matched by a null-safe semi join, whatever
-    their number.  They are counted, and broadcast if they are proven small, so
-    that the table itself need not be shuffled.  ``extremes``, if they are known
-    already (as from a listing of partitions), save the first pass over the table.
+    The extremes are one row per group, matched by a null-safe semi join.  They are
+    worked out once: up to ``KNOWN_GROUPS`` of them, if they take no more than
+    ``BROADCAST_BYTES``, go to all tasks, and the table itself is not shuffled.
+    With more groups the join is left to Spark.
     """
-    if extremes is None:
-        extremes = df.filter(F.col(column).isNotNull()).groupBy(*by).agg(extreme(F.col(column)).alias(column))
-    found = extremes.select(*(F.col(c).alias(f"__{c}") for c in (*by, column)))
+    found = df.filter(F.col(column).isNotNull()).groupBy(*by).agg(extreme(F.col(column)).alias(column))
+    found = found.select(*(F.col(c).alias(f"__{c}") for c in (*by, column)))
+    known = found.limit(KNOWN_GROUPS + 1).toArrow()
+    if known.num_rows <= KNOWN_GROUPS and known.nbytes <= BROADCAST_BYTES:
+        found = F.broadcast(df.sparkSession.createDataFrame(known, found.schema))
     same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"__{c}")) for c in (*by, column)))
-    return df.join(small_side(found, found.count()), same, "left_semi")
+    return df.join(found, same, "left_semi")
 
 
 def latest_snapshot(snapshots: DataFrame, by: Sequence[str] = ("sport",),

@@ -1,0 +1,143 @@
+"""Documents decoded at landing, outcomes, quarantine and the counts made on the way."""
+
+from datetime import date, datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from courtline.operators import ingest
+from courtline.plans import daily
+from courtline.sources import commits, landing, readers, writers
+from tests.conftest import records
+from tests.test_ingest import OFFER, Landed, team
+from tests.test_value import stats
+
+NOON = datetime(2025, 11, 9, 12, 0)
+DAY = date(2025, 11, 4)
+
+
+def landed_case():
+    """One event for every way to end, and games on many days."""
+    landed = Landed()
+    landed.event("game", items=[OFFER])
+    landed.event("no competitions", event={"competitions": None})
+    landed.event("no date", event={"date": None})
+    landed.event("bad date", event={"date": "soon"})
+    landed.event("torn competition", competition="{")
+    landed.event("no competition document", competition="missing")
+    landed.event("no away team", competitors=[team("gone", "away"), team("B", "home")], items=[OFFER])
+    landed.event("torn home team", competitors=[team("A", "away"), team("torn", "home")], items=[OFFER])
+    landed.event("no odds", odds=None)
+    landed.event("no offers", items=[])
+    landed.event("torn odds", odds_body="{")
+    landed.event("zoneless", event={"date": "2025-11-04T20:00"}, items=[OFFER])
+    for k in range(-6, 7):
+        landed.event(f"day {k}", event={"date": f"{DAY + timedelta(days=k)}T03:30Z"}, items=[OFFER])
+    landed.listed.append({"$ref": "/event/not landed"})
+    return landed
+
+
+REASONS = {
+    "no competitions": "event without competitions", "no date": "event without date", "bad date": "event date unreadable",
+    "torn competition": "competition missing or unreadable", "no competition document": "competition missing or unreadable",
+    "no away team": "away team missing or unreadable", "torn home team": "home team missing or unreadable",
+    "no odds": "competition without odds", "no offers": "odds without offers", "torn odds": "odds missing or unreadable",
+    "not landed": "event missing or unreadable"}
+
+
+def by_url(df, *names):
+    return {r["event_url"].split("/")[-1]: tuple(r[n] for n in names) if len(names) > 1 else r[names[0]] for r in records(df)}
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    path = str(tmp_path / "landed")
+    documents = landed_case().frame(spark)
+    landing.land(documents, path, "f1")
+    return path, documents
+
+
+def test_landed_documents_give_what_raw_ones_give(spark, store):
+    path, documents = store
+    landed = landing.LandedDocuments(spark, path)
+    for zone in ("UTC", "America/New_York", "Pacific/Kiritimati", "Pacific/Pago_Pago"):
+        for last in (DAY, DAY + timedelta(days=2), None):
+            raw = ingest.event_outcomes(documents, zone, DAY, last)
+            assert sorted(map(str, records(ingest.event_outcomes(landed, zone, DAY, last).drop("fetch")))) == sorted(map(str, records(raw)))
+            games = ingest.odds_snapshot(landed, zone, DAY, last)
+            assert sorted(map(str, records(games.drop("fetch")))) == sorted(map(str, records(ingest.odds_snapshot(documents, zone, DAY, last))))
+    assert by_url(ingest.event_outcomes(landed, "UTC", DAY, DAY).filter("reason is not null and disposition <> 'wrong_date'"), "reason") == REASONS
+
+
+def test_a_window_opens_only_its_days_and_no_hop_decodes(spark, store):
+    path, _ = store
+    landed = landing.LandedDocuments(spark, path)
+    plan = ingest.odds_snapshot(landed, "America/New_York", DAY, DAY + timedelta(days=2))._jdf.queryExecution().executedPlan().toString()
+    assert "from_json" not in plan and "body" not in plan and "PartitionFilters: [" in plan
+    days = sorted(r["keys"]["utc_day"] for r in records(commits.current(spark, path, "events")))
+    assert days[0] == "=2025-10-29" and days[-1] == "null" and len(days) == 14
+    some = [r["date_text"] for r in records(landed.events(DAY, DAY))]
+    assert {t[:10] for t in some} == {"2025-11-03", "2025-11-04", "2025-11-05"}
+
+
+def test_a_fetch_landed_again_is_replaced_and_fetches_stay_apart(spark, store):
+    path, documents = store
+    before = landing.LandedDocuments(spark, path)
+    other = Landed()
+    other.event("game", items=[{**OFFER, "spread": 77.0}])
+    landing.land(other.frame(spark), path, "f2")
+    games = ingest.odds_snapshot(landing.LandedDocuments(spark, path), "UTC", DAY, DAY)
+    found = {(r["fetch"], r["event_url"]): r["spread"] for r in records(games)}
+    assert found[("f2", "/event/game")] == 77.0 and found[("f1", "/event/game")] != 77.0
+    assert {f for f, _ in found} == {"f1", "f2"} and len([1 for f, _ in found if f == "f2"]) == 1
+    newest = landing.LandedDocuments(spark, path, F.col("part") == "f2")
+    assert [r["fetch"] for r in records(ingest.odds_snapshot(newest, "UTC", DAY, DAY))] == ["f2"]
+    landing.land(other.frame(spark), path, "f1")
+    after = ingest.odds_snapshot(landing.LandedDocuments(spark, path), "UTC", DAY, DAY)
+    assert sorted((r["fetch"], r["spread"]) for r in records(after)) == [("f1", 77.0), ("f2", 77.0)]
+    assert ingest.odds_snapshot(before, "UTC", DAY, DAY).count() == 3     # a reader that has begun: game, zoneless, day 0
+
+
+def test_quarantine_holds_the_bodies_to_blame(spark, store, tmp_path):
+    _, documents = store
+    outcomes = ingest.event_outcomes(documents, "UTC", DAY, DAY)
+    path = str(tmp_path / "rejected")
+    for bound in (None, 100):
+        writers.write_rejected(ingest.rejected_documents(outcomes, documents, row_bound=bound), path, "f1")
+        got = by_url(readers.read_rejected(spark, path), "document_url", "body")
+        assert set(got) == {"bad date", "torn competition", "no competition document", "no away team", "torn home team", "torn odds", "not landed"}
+        assert got["torn competition"] == ("/comp/torn competition", "{") and got["torn odds"] == ("/odds/torn odds", "{")
+        assert got["torn home team"] == ("/team/torn", "{") and got["no away team"] == ("/team/gone", None)
+        assert got["no competition document"] == ("/comp/no competition document", None) and got["not landed"] == ("/event/not landed", None)
+        assert "soon" in got["bad date"][1]
+
+
+def test_few_errors_shuffle_no_body(spark, store):
+    _, documents = store
+    errors = ingest.event_outcomes(documents, "UTC", DAY, DAY).filter("disposition = 'error'").limit(3)
+    plan = ingest.rejected_documents(errors, documents, row_bound=3)._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan
+
+
+def test_run_day_counts_what_it_writes(spark, tmp_path):
+    documents = landed_case().frame(spark)
+    teams = stats(spark, dict(TEAM_NAME="Team A"), dict(TEAM_NAME="Team B", W_PCT=0.7))
+    paths = daily.DayPaths(str(tmp_path / "day"))
+    for _ in range(2):
+        counts = daily.run_day(spark, documents, teams, paths, "UTC", DAY, NOON, days=1)
+    raw = {r["disposition"]: r["n"] for r in records(ingest.disposition_counts(ingest.event_outcomes(documents, "UTC", DAY, DAY)))}
+    assert {k: v for k, v in counts.dispositions.items() if v} == raw and sum(raw.values()) == 26
+    assert (counts.games, counts.teams) == (3, 2)
+    published = readers.read_ponderations(spark, paths.of("ponderations"), "parquet")
+    assert counts.opportunities["total_games"] == published.count() == 3
+    flags = [c for c in published.columns if c.endswith("_recommendation")]
+    assert counts.opportunities["value_games"] == sum(any(r[c] != "NO VALUE" for c in flags) for r in records(published))
+    assert readers.read_outcomes(spark, paths.of("outcomes")).count() == 26
+    assert readers.read_rejected(spark, paths.of("rejected")).count() == 7
+
+
+def test_nothing_landed(spark, tmp_path):
+    path = str(tmp_path / "landed")
+    landing.land(Landed().frame(spark).limit(0), path, "f1")
+    landed = landing.LandedDocuments(spark, path)
+    assert ingest.odds_snapshot(landed, "UTC", DAY, DAY).count() == ingest.event_outcomes(landed, "UTC", DAY, DAY).count() == 0

@@ -6,10 +6,12 @@ from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from courtline import wording as w
 from courtline.functions.dates import game_date
-from courtline.operators.rest import days_rest, rest_splits, rest_splits_wide
+from courtline.operators.rest import days_rest, rest_splits, rest_splits_of_days, rest_splits_wide, rest_splits_wide_of_days
+from courtline.sources import rest_state
 from tests.conftest import records
 
 LOG = "team_id long, game_id long, game_date_text string, wl string, pts double, plus_minus double"
@@ -159,3 +161,60 @@ def test_a_log_without_ids_and_places_picks_one_first_game_a_day(spark):
     assert got == [("NOV 01, 2025", "-1"), ("NOV 01, 2025", "-1"), ("NOV 01, 2025", "None"),
                    ("NOV 04, 2025", "-1"), ("NOV 04, 2025", "2")]
     assert {r["rest_bucket"]: (r["GP"], r["W"]) for r in records(rest_splits(log))} == {"2": (1, 0), "4+": (3, 2)}
+
+
+def test_textual_ids_are_taken_in_the_order_of_the_log(spark):
+    rows = random_log(11)
+    named = [(t, f"G-{g}", d, wl, p, m, k) for k, (t, g, d, wl, p, m) in enumerate(sorted(rows, key=lambda r: r[1]))]
+    schema = LOG.replace("game_id long", "game_id string") + ", log_position long"
+    textual = spark.createDataFrame(named, schema).repartition(5)
+    got = {r["game_id"]: (r["days_rest"], r["rest_bucket"]) for r in records(days_rest(textual))}
+    assert got == {f"G-{g}": v for g, v in loop(rows, "date").items()}
+    numbers = spark.createDataFrame(rows, LOG)
+    for split in (rest_splits, rest_splits_wide):
+        assert sorted(map(str, records(split(textual)))) == sorted(map(str, records(split(numbers))))
+    # Without places the result still depends on the rows alone.
+    bare = textual.drop("log_position")
+    once = sorted(map(str, records(days_rest(bare))))
+    assert once == sorted(map(str, records(days_rest(bare.repartition(3)))))
+    mixed = numbers.withColumn("game_id", F.when(F.col("game_id") % 2 == 0, F.col("game_id").cast("string")).otherwise("id?"))
+    assert days_rest(mixed).count() == len(loop(rows, "date"))
+
+
+@pytest.mark.parametrize("order_mode", ["date", "text"])
+def test_kept_splits_equal_a_full_run(spark, tmp_path, order_mode):
+    rows = random_log(12)
+    log = spark.createDataFrame(rows, LOG)
+    path, team_ = str(tmp_path / "days"), T.StructType([log.schema["team_id"]])
+
+    def kept():
+        return rest_state.read_game_days(spark, path, team_, order_mode)
+
+    batches = {f"b{k}": log.filter(F.col("game_id") % 5 == k) for k in range(5)}
+    for name in ("b3", "b0", "b4"):
+        rest_state.add_games(batches[name], path, name, order_mode=order_mode)
+    rest_state.add_games(batches["b1"], path, "b0", order_mode=order_mode)      # a mistake,
+    rest_state.add_games(batches["b0"], path, "b0", order_mode=order_mode)      # replaced
+    before = kept()
+    seen = sorted(map(str, records(before)))
+    assert rest_state.merge_batches(spark, path, team_, "merged").rows
+    assert sorted(map(str, records(kept()))) == seen == sorted(map(str, records(before)))
+    with pytest.raises(ValueError):
+        rest_state.add_games(batches["b0"], path, "b0", order_mode=order_mode)
+    for name in ("b2", "b1"):
+        rest_state.add_games(batches[name], path, name, order_mode=order_mode)
+
+    def rounded(df):
+        return sorted(str({k: round(v, 9) if isinstance(v, float) else v for k, v in r.items()}) for r in records(df))
+
+    assert rounded(rest_splits_of_days(kept())) == rounded(rest_splits(log, order_mode=order_mode))
+    assert rounded(rest_splits_wide_of_days(kept())) == rounded(rest_splits_wide(log, order_mode=order_mode))
+    rest_state.merge_batches(spark, path, team_, "merged")
+    assert rounded(rest_splits_of_days(kept())) == rounded(rest_splits(log, order_mode=order_mode))
+
+
+def test_no_games_kept(spark, tmp_path):
+    team_ = T.StructType([T.StructField("team_id", T.LongType())])
+    assert rest_splits_of_days(rest_state.read_game_days(spark, str(tmp_path / "none"), team_)).count() == 0
+    rest_state.add_games(spark.createDataFrame([], LOG), str(tmp_path / "none"), "b")
+    assert rest_splits_of_days(rest_state.read_game_days(spark, str(tmp_path / "none"), team_)).count() == 0

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from courtline import schemas
 from courtline import wording as w
-from courtline.sources import readers
+from courtline.operators import selection
 from courtline.operators.selection import best_offer, best_offer_of_items, latest_snapshot, next_game_day
 from tests.conftest import records
 
@@ -62,9 +62,26 @@ def test_sole_offer_without_prices_is_chosen(spark):
     assert row["event_id"] == 5 and row["n_fields"] == 0
 
 
-def test_int_positions_use_hash_aggregation(spark):
-    plan = best_offer(spark.createDataFrame(random_offers(1), OFFER))._jdf.queryExecution().toString()
-    assert "HashAggregate" in plan and "SortAggregate" not in plan
+@pytest.mark.parametrize("order", [["pos"], ["pos", "book"], ["book"]])
+def test_equal_positions_give_the_same_offer_for_every_partitioning(spark, order):
+    rng = random.Random(4)
+    rows = [(rng.randrange(4), rng.choice([None, 0, 1]), rng.choice([None, "a"]), *(rng.choice([None, 1.0, -1.0]) for _ in range(4)))
+            for _ in range(300)]
+    rows += rows[:20]
+
+    def key(r):
+        """Most prices, then the order with nulls last, then the prices with nulls first."""
+        named = dict(zip(("event_id", "pos", "book", *w.PRICE_COLUMNS), r, strict=True))
+        return (sum(x is None for x in r[3:]), [(named[o] is None, named[o] or 0) if named[o] is None or not isinstance(named[o], str)
+                else (False, named[o]) for o in order], [(x is not None, x or 0.0) for x in r[3:]])
+
+    want = {e: min((r for r in rows if r[0] == e), key=key) for e in range(4)}
+    for n in (1, 2, 3, 7):
+        for some in (rows, rows[::-1]):
+            offers = spark.createDataFrame(some, OFFER.replace("pos int", "pos int, book string")).repartition(n)
+            got = {r["event_id"]: r for r in records(best_offer(offers, order=order))}
+            assert {e: [got[e][c] for c in w.PRICE_COLUMNS] for e in got} == {e: list(r[3:]) for e, r in want.items()}
+            assert all(got[e][o] == want[e][1 if o == "pos" else 2] for e in got for o in order)
 
 
 def test_best_offer_of_items(spark):
@@ -99,6 +116,20 @@ def test_latest_snapshot(spark, type_, groups):
     assert got == sorted((str(s), t, n) for s, t, n in rows if newest[s] == t)
 
 
+def test_the_extremes_are_worked_out_once_and_the_table_is_not_shuffled(spark):
+    df = spark.range(1000).selectExpr("id % 7 as sport", "id as snapshot_ts", "rand() as x")
+    plan = latest_snapshot(df)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan and "Aggregate" not in plan
+
+
+def test_more_groups_than_the_driver_may_know(spark, monkeypatch):
+    monkeypatch.setattr(selection, "KNOWN_GROUPS", 5)
+    df = spark.range(1000).selectExpr("nullif(id % 50, 3) as sport", "id as snapshot_ts")
+    newest = latest_snapshot(df)
+    assert sorted(r["snapshot_ts"] for r in records(newest)) == list(range(950, 1000))
+    assert "Aggregate" in newest._jdf.queryExecution().executedPlan().toString()
+
+
 def test_latest_snapshot_of_nothing(spark):
     empty = spark.createDataFrame([], "sport string, snapshot_ts timestamp")
     assert latest_snapshot(empty).count() == 0
