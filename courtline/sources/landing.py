@@ -2,7 +2,8 @@
 
 A fetch is landed as one part of a store (see :mod:`courtline.sources.commits`), all its
 tables at once, so that no hop decodes, or even reads, a body again.  Events are divided
-by their UTC date: a reader of a few days opens only theirs.
+by the month of their UTC date: a reader of a few days opens only theirs, and of these
+only the row groups that may hold the days.
 """
 
 from __future__ import annotations
@@ -19,11 +20,12 @@ from courtline.sources import commits
 from courtline.sources.commits import Written
 
 FETCH = "fetch"
-_DAY = "utc_day"
+_DAY, _MONTH = "utc_day", "utc_month"
 
 
 def _with_day(events: DataFrame) -> DataFrame:
-    return events.withColumn(_DAY, event_local_date(F.col("date_text"), "UTC").cast("string"))
+    day = event_local_date(F.col("date_text"), "UTC")
+    return events.withColumns({_DAY: day, _MONTH: F.date_format(day, "yyyy-MM")})
 
 
 _TABLES = {
@@ -33,7 +35,7 @@ _TABLES = {
     "teams": ingest.team_fields,
     "odds": ingest.odds_fields,
 }
-_GROUPS = {"events": (_DAY,)}
+_GROUPS = {"events": (_MONTH,)}
 
 
 def land(documents: DataFrame, path: str, fetch: str) -> list[Written]:
@@ -70,12 +72,17 @@ class LandedDocuments(ingest.Source):
         return self._table("listed")
 
     def events(self, first: date | None = None, last: date | None = None) -> DataFrame:
-        """All events, or those of the UTC dates that local dates ``first..last`` can fall on."""
-        day = commits.text_of(F.col("keys")[_DAY])
-        near = [day >= F.lit((first - timedelta(days=1)).isoformat())] if first is not None else []
-        near += [day <= F.lit((last + timedelta(days=1)).isoformat())] if last is not None else []
-        only = near[0] & near[-1] if near else None
-        return self._table("events", only).drop(_DAY)
+        """All events, or those of the UTC dates that local dates ``first..last`` can fall on, undated ones left out."""
+        month = commits.text_of(F.col("keys")[_MONTH])
+        months, days = F.lit(True), F.lit(True)
+        if first is not None:
+            lower = first - timedelta(days=1)
+            months, days = months & (month >= f"{lower:%Y-%m}"), days & (F.col(_DAY) >= F.lit(lower))
+        if last is not None:
+            upper = last + timedelta(days=1)
+            months, days = months & (month <= f"{upper:%Y-%m}"), days & (F.col(_DAY) <= F.lit(upper))
+        near = None if first is None and last is None else months
+        return self._table("events", near).filter(days).drop(_DAY, _MONTH)
 
     def competitions(self, urls: DataFrame, row_bound: int | None) -> DataFrame:
         return self._table("competitions")

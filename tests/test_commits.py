@@ -99,7 +99,7 @@ def test_only_the_wanted_folders_are_listed_and_opened(spark, tmp_path):
     newest = readers.read_newest_odds(spark, path)
     assert {f.split("part=")[1].split("/")[0] for f in newest.inputFiles()} == {"20251105_0000", "20251106_0000"}
     plan = newest._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [(" in plan
+    assert "PartitionFilters: [concat_ws(" in plan
     manifest_plan = readers.newest_snapshots(spark, path)._jdf.queryExecution().executedPlan().toString()
     assert manifest_plan.count("FileScan") == 1
     assert "ReadSchema: struct<part:string,version:bigint,run:string," in manifest_plan
