@@ -3,7 +3,11 @@
 Word n-grams of the test items that chance would rarely bring about seed candidate
 places; there the item is aligned with the document's words, so that edited and
 paraphrased copies score by what they still share in order.  All work on a text is
-done where the text is: only counts of the items' own words are shuffled.
+done where the text is: only counts of the items' own words are shuffled, in one
+pass whatever the number of items.
+
+A word is a run of letters and digits; in scripts without blanks between words every
+character is one.
 """
 
 from __future__ import annotations
@@ -20,11 +24,20 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import ArrowUDFType
 
 from courtline.llm import text_arrays as ta
-from courtline.llm.common import carried, text_or_empty
+from courtline.llm.common import carried, text_or_empty, written
 
 # Bytes of item text that are held by every task at a time; more items are worked off in blocks.
 BLOCK_BYTES = 8 * 2**20
 _PAIRS_AT_ONCE = 64
+# Words are looked up in the bitmap of all items' words by as many bits of their hashes: half a megabyte.
+_WORD_BITS = 22
+# Distinct words a task counts before it hands them on.
+_COUNTED_AT_ONCE = 2_000_000
+# First bytes in UTF-8 of characters that are words of their own: kana and Han from U+3000 on,
+# compatibility forms and all beyond U+FFFF; by their first byte and a range of the second, Thai
+# and Lao, Myanmar, Khmer.
+_OWN_LEADS = (0xE3, 0xE4, 0xE5, 0xE6, 0xE7, 0xE8, 0xE9, 0xEF, 0xF0, 0xF1, 0xF2, 0xF3, 0xF4)
+_OWN_PAIRS = ((0xE0, 0xB8, 0xBB), (0xE1, 0x80, 0x82), (0xE1, 0x9E, 0x9F))
 
 
 @dataclass(frozen=True)
@@ -42,7 +55,11 @@ class Settings:
 
 
 class Items(NamedTuple):
-    """Test items as word hashes, and a sorted index of n-gram, item and place."""
+    """Test items as word hashes, and a sorted index of n-gram, item and place.
+
+    ``widths`` are the lengths of the n-grams; those marked ``whole`` count only in
+    texts that have no other words.
+    """
 
     ids: list[Any]
     hashes: np.ndarray
@@ -50,6 +67,8 @@ class Items(NamedTuple):
     grams: np.ndarray
     item: np.ndarray
     place: np.ndarray
+    whole: np.ndarray
+    widths: tuple[int, ...]
 
 
 class Match(NamedTuple):
@@ -61,9 +80,29 @@ class Match(NamedTuple):
     end: int
 
 
-def _word_hashes(t: ta.Texts) -> tuple[np.ndarray, np.ndarray]:
+def _words(data: np.ndarray, t: ta.Texts) -> ta.Words:
+    """Runs of letters and digits, cut around the characters that are words of their own."""
     w = ta.words(t, letters_only=True)
-    return ta.word_hashes(ta.lower(t.data), w), w.bounds
+    leads = np.flatnonzero(data >= 0xE0)
+    if not len(leads):
+        return w
+    lead, second = data[leads], data[np.minimum(leads + 1, len(data) - 1)]
+    own = np.isin(lead, _OWN_LEADS)
+    for first, low, high in _OWN_PAIRS:
+        own |= (lead == first) & (second >= low) & (second <= high)
+    at = leads[own]
+    start = np.unique(np.concatenate((w.start, at, at + np.where(data[at] >= 0xF0, 4, 3))))
+    run = np.searchsorted(w.start, start, side="right") - 1
+    inside = start < w.end[run]
+    start, run = start[inside], run[inside]
+    end = np.minimum(np.append(start[1:], len(data)), w.end[run])
+    return ta.Words(start, end, np.searchsorted(start, t.bounds))
+
+
+def _word_hashes(t: ta.Texts) -> tuple[np.ndarray, np.ndarray]:
+    data = ta.lower(t.data)
+    w = _words(data, t)
+    return ta.word_hashes(data, w), w.bounds
 
 
 def _grams(h: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -73,12 +112,26 @@ def _grams(h: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.ndarray, n
 
 
 def make_items(rows: list[tuple[Any, str | None]], width: int) -> Items:
-    """Items with fewer words than ``width`` have no n-gram and match nothing."""
+    """Items with fewer words than ``width`` have themselves as their only n-gram; those without words match nothing."""
     h, bounds = _word_hashes(ta.texts(pa.array([x for _, x in rows], pa.string())))
-    grams, first = _grams(h, bounds, width)
-    item = np.searchsorted(bounds, first, side="right") - 1
-    order = np.argsort(grams, kind="stable")
-    return Items([i for i, _ in rows], h, bounds, grams[order], item[order], (first - bounds[item])[order])
+    size = np.diff(bounds)
+    grams, item, place, widths = [], [], [], []
+    for w in range(1, width + 1):
+        gram, first = _grams(h, bounds, w)
+        of = np.searchsorted(bounds, first, side="right") - 1
+        kept = size[of] == w if w < width else np.ones(len(of), bool)
+        if kept.any():
+            grams.append(gram[kept])
+            item.append(of[kept])
+            place.append((first - bounds[of])[kept])
+            widths.append(w)
+    if not widths:
+        none = np.zeros(0, np.int64)
+        return Items([i for i, _ in rows], h, bounds, none.view(np.uint64), none, none, none.astype(bool), ())
+    every = np.concatenate(grams)
+    order = np.argsort(every, kind="stable")
+    return Items([i for i, _ in rows], h, bounds, every[order], np.concatenate(item)[order], np.concatenate(place)[order],
+                 np.zeros(len(order), bool), tuple(widths))
 
 
 class _Filter:
@@ -105,20 +158,25 @@ def rare_seeds(items: Items, counts: np.ndarray, total: int, docs: int, s: Setti
 
     How often chance would bring an n-gram about follows from its words' own
     frequencies.  Its frequency as a whole would not do: copies of an item are
-    what makes its n-grams frequent.
+    what makes its n-grams frequent.  An item shorter than a seed is found within
+    other words only if it is rare and has two words or more; otherwise a text has
+    to be the item and nothing else.
     """
     if not len(items.grams):
         return items
     share = counts[np.searchsorted(np.unique(items.hashes), items.hashes)] / max(1, total)
     first = items.bounds[items.item] + items.place
+    words = np.minimum(np.diff(items.bounds)[items.item], s.seed_words)
     expected = np.full(len(first), total / max(1, docs))
     for k in range(s.seed_words):
-        expected *= share[first + k]
+        expected *= np.where(k < words, share[np.minimum(first + k, len(share) - 1)], 1.0)
     order = np.lexsort((items.place, expected, items.item))
     per_item = np.bincount(items.item, minlength=len(items.ids))
     rank = np.arange(len(order)) - np.repeat(np.cumsum(per_item) - per_item, per_item)
     chosen = np.sort(order[(expected[order] <= s.chance) | (rank < s.least_seeds)])
-    return items._replace(grams=items.grams[chosen], item=items.item[chosen], place=items.place[chosen])
+    whole = (words < s.seed_words) & ((words < 2) | (expected > s.chance))
+    return items._replace(grams=items.grams[chosen], item=items.item[chosen], place=items.place[chosen],
+                          whole=whole[chosen])
 
 
 def align(pairs: list[tuple[np.ndarray, np.ndarray]], s: Settings) -> np.ndarray:
@@ -154,15 +212,24 @@ def find(t: ta.Texts, items: Items, index: _Filter, s: Settings) -> list[list[Ma
     """
     found: list[list[Match]] = [[] for _ in range(len(t))]
     h, bounds = _word_hashes(t)
-    grams, first = _grams(h, bounds, s.seed_words)
-    which, member = index.hits(grams)
-    if not len(which):
+    at, members = [], []
+    for width in items.widths:
+        grams, first = _grams(h, bounds, width)
+        which, member = index.hits(grams)
+        at.append(first[which])
+        members.append(member)
+    if not sum(map(len, at)):
         return found
+    hit, member = np.concatenate(at), np.concatenate(members)
     lo = np.searchsorted(items.grams, index.grams[member], side="left")
     n = np.searchsorted(items.grams, index.grams[member], side="right") - lo
     entry = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    word = np.repeat(first[which], n)
+    word = np.repeat(hit, n)
     text = np.searchsorted(bounds, word, side="right") - 1
+    fits = ~items.whole[entry] | (np.diff(bounds)[text] == np.diff(items.bounds)[items.item[entry]])
+    entry, word, text = entry[fits], word[fits], text[fits]
+    if not len(entry):
+        return found
     item, start = items.item[entry], word - items.place[entry]
     order = np.lexsort((start, item, text))
     text, item, start = text[order], item[order], start[order]
@@ -192,59 +259,98 @@ def _best(matches: list[Match]) -> list[Match]:
     return list(best.values())
 
 
-def frequencies(docs: DataFrame, items: Items, text_column: str = "text") -> tuple[np.ndarray, int, int]:
-    """Occurrences of the items' distinct words among all documents, all words, and documents.
+def item_table(benchmark: DataFrame, item_column: str = "item_id", text_column: str = "text") -> tuple[DataFrame, int]:
+    """``id``, ``text`` and ``block`` of the distinct items, and how many blocks of about ``BLOCK_BYTES`` they make."""
+    items = written(benchmark.select(F.col(item_column).alias("id"), text_or_empty(text_column).alias("text")).distinct(),
+                    "items")
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, -(-size // BLOCK_BYTES))
+    return items.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks))), blocks
+
 
-    As many counts as the block of items has words reach the driver.
+def _item_words(items: DataFrame) -> DataFrame:
+    """``block`` and ``word`` (the hash as a long), once for each block."""
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, t in ta.slices(batch):
+                h, bounds = _word_hashes(t)
+                block = np.repeat(part.column("block").to_numpy(), np.diff(bounds))
+                yield pa.record_batch({"block": pa.array(block), "word": pa.array(h.view(np.int64))})
+
+    return items.select("block", "text").mapInArrow(hashes, "block long, word long").distinct()
+
+
+def frequencies(docs: DataFrame, items: DataFrame, text_column: str = "text") -> tuple[DataFrame, int, int]:
+    """``block``, ``word`` and ``n``, its occurrences among all documents, of the items' words; all words; documents.
+
+    One pass over the documents serves all blocks.  Tasks count the words that a
+    bitmap of a fixed size lets through; what it lets through by mistake falls out
+    of the join with the items' words.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(np.unique(items.hashes))
+    words = written(_item_words(items), "item-words")
+    low = F.col("word").bitwiseAND(F.lit(2 ** _WORD_BITS - 1)) + 1
+    bits = words.groupBy(F.bitmap_bucket_number(low).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(low)).alias("bits")).collect()
+    sent = docs.sparkSession.sparkContext.broadcast([(r.bucket, bytes(r.bits)) for r in bits])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = _Filter(sent.value)
-        found = np.zeros(len(index.grams), np.int64)
+        seen = np.zeros(2 ** _WORD_BITS, bool)
+        for bucket, some in sent.value:
+            unpacked = np.unpackbits(np.frombuffer(some, np.uint8), bitorder="little")
+            start = (bucket - 1) * len(unpacked)
+            seen[start:start + len(unpacked)] = unpacked
+        held, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         total = rows = 0
         for batch in batches:
             rows += len(batch)
             for _, t in ta.slices(batch):
                 h, _ = _word_hashes(t)
                 total += len(h)
-                found += np.bincount(index.hits(h)[1], minlength=len(found))
-        used = np.flatnonzero(found)
-        yield pa.record_batch({"word": pa.array([-1, -2, *used], pa.int64()), "n": pa.array([total, rows, *found[used]], pa.int64())})
-
-    sums = docs.select(text_or_empty(text_column).alias("text")).mapInArrow(count, "word long, n long").groupBy(
-        "word").agg(F.sum("n").alias("n")).collect()
-    by_word = {r.word: r.n for r in sums}
-    out = np.array([by_word.get(k, 0) for k in range(len(np.unique(items.hashes)))], np.int64)
-    return out, by_word.get(-1, 0), by_word.get(-2, 0)
-
-
-def item_blocks(benchmark: DataFrame, s: Settings, item_column: str = "item_id",
-                text_column: str = "text") -> Iterator[Items]:
-    """The test items in blocks of about ``BLOCK_BYTES``, so that no task holds more, whatever their number."""
-    items = benchmark.select(F.col(item_column).alias("id"), text_or_empty(text_column).alias("text"))
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-size // BLOCK_BYTES))
+                new, n = np.unique(h[seen[(h & np.uint64(2 ** _WORD_BITS - 1)).astype(np.int64)]], return_counts=True)
+                held, back = np.unique(np.concatenate((held, new)), return_inverse=True)
+                counts = np.bincount(back, np.concatenate((counts, n)), len(held)).astype(np.int64)
+                if len(held) > _COUNTED_AT_ONCE:
+                    yield pa.record_batch({"word": pa.array(held.view(np.int64)), "n": pa.array(counts),
+                                           "docs": pa.array(np.zeros(len(held), np.int64))})
+                    held, counts = held[:0], counts[:0]
+        yield pa.record_batch({"word": pa.array([None, *held.view(np.int64).tolist()], pa.int64()),
+                               "n": pa.array([total, *counts.tolist()], pa.int64()),
+                               "docs": pa.array([rows, *[0] * len(held)], pa.int64())})
+
+    sums = written(docs.select(text_or_empty(text_column).alias("text")).mapInArrow(
+        count, "word long, n long, docs long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "counts")
+    every = sums.filter(F.col("word").isNull()).select("n", "docs").first()
+    counts = written(words.join(sums.filter(F.col("word").isNotNull()), "word").select("block", "word", "n"), "item-counts")
+    return counts, every.n if every else 0, every.docs if every else 0
+
+
+def item_blocks(items: DataFrame, blocks: int, counts: DataFrame, total: int, docs: int, s: Settings) -> Iterator[Items]:
+    """The items with their seeds, a block of about ``BLOCK_BYTES`` at a time, so that no task holds more."""
     for k in range(blocks):
-        rows = items.filter(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == k).collect()
-        yield make_items(sorted(((r.id, r.text) for r in rows), key=lambda r: (r[0] is None, r)), s.seed_words)
+        rows = items.filter(F.col("block") == k).select("id", "text").collect()
+        block = make_items(sorted(((r.id, r.text) for r in rows), key=lambda r: (r[0] is None, r)), s.seed_words)
+        n = {r.word: r.n for r in counts.filter(F.col("block") == k).collect()}
+        yield rare_seeds(block, np.array([n.get(w, 0) for w in np.unique(block.hashes).view(np.int64).tolist()], np.int64),
+                         total, docs, s)
 
 
 def with_matches(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings(), item_column: str = "item_id",
                  text_column: str = "text", name: str = "matches") -> DataFrame:
     """Adds an array of ``item_id``, ``score``, ``start`` and ``end`` (words searched) of the items a text copies.
 
-    Null and empty texts, and items of fewer words than a seed, match nothing;
-    repeated items match each; without items every array is empty.  The documents
-    are read once to count the items' words and once to align.
+    Null and empty texts, and items without words, match nothing; of items repeated
+    with id and text one counts, those with ids of their own match each; without
+    items every array is empty.  An item shorter than a seed matches a text that is
+    that item, or holds it if its two words or more rarely meet by chance.  The
+    documents are read once to count the items' words and once to align.
     """
     kind = benchmark.schema[item_column].dataType
     result = T.ArrayType(T.StructType([
         T.StructField("item_id", kind), T.StructField("score", T.DoubleType()),
         T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     column = F.array().cast(result)
-    for items in item_blocks(benchmark, settings, item_column):
-        seeds = rare_seeds(items, *frequencies(docs, items, text_column), settings)
+    items, blocks = item_table(benchmark, item_column)
+    for seeds in item_blocks(items, blocks, *frequencies(docs, items, text_column), settings):
         sent = docs.sparkSession.sparkContext.broadcast(tuple(seeds))
 
         def matches(arrays: Iterator[pa.Array], sent=sent) -> Iterator[pa.Array]:
