@@ -191,8 +191,10 @@ def top_nodes(rows: list[tuple[int, int, int, int, float]]) -> np.ndarray:
 
 # Groups of the trees are the two nearest bytes; groups of word hashes follow on.
 _WORDS = 2 ** 16
-# Blocks whose lists meet in one task.
+# Blocks whose lists are summed in one task.
 _FAN_IN = 64
+# Bytes of lists of one group that one task answers.
+ANSWER_BYTES = 64 * 2**20
 
 
 def _packed(keys: np.ndarray) -> bytes:
@@ -306,16 +308,23 @@ def _upper(model: DataFrame, depth: int) -> np.ndarray:
     return top_nodes(sorted(tuple(r) for r in sums.collect()))
 
 
-def answered(lists: DataFrame, model: DataFrame, top: np.ndarray, blocks: int, depth: int) -> DataFrame:
+def answered(lists: DataFrame, model: DataFrame, top: np.ndarray, depth: int) -> DataFrame:
     """``lists`` with, instead of counts, the log10 probabilities of pairs and the corpus counts of words.
 
-    A group's model is sent to as many tasks as it takes for each to answer at most
-    ``_FAN_IN`` blocks.
+    A group's model is sent once, or to as many tasks as it takes for each to answer
+    about ``ANSWER_BYTES`` of lists.  Only the groups of trees, at most 65,536, can
+    need several: there are more groups of word hashes than blocks.
     """
-    salts = -(-blocks // _FAN_IN)
     sent = lists.sparkSession.sparkContext.broadcast(top)
-    asked = lists.select("block", "group", "keys", F.pmod("block", F.lit(salts)).alias("salt"))
-    copies = model.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    large = lists.filter(F.col("group") < _WORDS).groupBy("group").agg(
+        F.ceil(F.sum(F.octet_length("keys")) / F.lit(ANSWER_BYTES)).alias("salts")).filter("salts > 1")
+
+    def dealt(df: DataFrame, salt) -> DataFrame:
+        return df.join(F.broadcast(large), "group", "left").withColumn(
+            "salt", salt(F.coalesce("salts", F.lit(1).cast("long")))).drop("salts")
+
+    asked = dealt(lists.select("block", "group", "keys"), lambda n: F.pmod(F.xxhash64("block"), n))
+    copies = dealt(model, lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1)))
 
     def answer(key: tuple, asked: pa.Table, model: pa.Table) -> pa.Table:
         group = key[0].as_py()
@@ -336,6 +345,21 @@ def answered(lists: DataFrame, model: DataFrame, top: np.ndarray, blocks: int, d
         answer, "block long, group long, keys binary, values binary")
 
 
+def _joined(column: pa.ChunkedArray, order: np.ndarray, kind: type, keys: bool) -> np.ndarray:
+    """The arrays in a binary column, in ``order``, as one; ``keys`` are packed."""
+    parts = [np.frombuffer(column[int(k)].as_buffer(), kind) for k in order]
+    out = np.empty(sum(map(len, parts)), kind)
+    at = 0
+    for part in parts:
+        some = out[at:at + len(part)]
+        if keys:
+            np.cumsum(part, out=some)
+        else:
+            some[:] = part
+        at += len(part)
+    return out
+
+
 def _find(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """Values of keys that are all there, looked up in sorted order."""
     order = np.argsort(wanted)
@@ -346,21 +370,25 @@ def _find(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarra
 
 def score(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", train: str = "train",
           depth: int = DEPTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``id``, ``train``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score`` of every row.
+    """``id``, ``train``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``, ``bits_per_byte`` of every row.
 
     The boolean column ``train`` says which rows are learned from (null: not).
     ``score`` is the log10 probability of the text's tokens, coded as bytes, by the
-    trees; ``base_score`` that of a unigram model with one added to each count.
+    trees; ``bits_per_byte`` its code length over the bytes coded, which are the
+    words', one for each word and the end; ``base_score`` is the log10 probability by
+    a unigram model with one added to each count.  Rows are dealt out to blocks by
+    their place in a written copy, so ids and texts may be null or repeated at will.
     Null texts are empty: one end.  Without any training row every bit has
     probability one half.  Repeated rows are scored each; an empty table gives no rows.
     """
     kind = docs.schema[id_column].dataType.simpleString()
     rows = docs.select(F.col(id_column).alias("id"), text_or_empty(text_column).alias("text"),
                        F.coalesce(F.col(train), F.lit(False)).alias("train"))
+    rows = written(rows.withColumn("place", F.monotonically_increasing_id()), "texts")
     size = rows.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     word_bits = max(6, blocks.bit_length())
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("place"), F.lit(blocks))).drop("place")
     lists = written(listed(rows, depth, word_bits), "lists")
     model = written(merged(lists, blocks), "model")
     top = _upper(model, depth)
@@ -373,16 +401,14 @@ def score(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
 
     n, v = model.filter(F.col("group") >= _WORDS).mapInArrow(sizes, "n long, v long").agg(F.sum("n"), F.sum("v")).first()
     n, v = n or 0, v or 0
-    replies = answered(lists, model, top, blocks, depth)
+    replies = answered(lists, model, top, depth)
 
     def evaluate(key: tuple, texts: pa.Table, replies: pa.Table) -> pa.Table:
-        replies = replies.sort_by("group")
         group = replies.column("group").to_numpy()
-        keys = [_unpacked(x) for x in replies.column("keys").to_pylist()]
-        values = [np.frombuffer(x, np.float64) for x in replies.column("values").to_pylist()]
-        split = int(np.searchsorted(group, _WORDS))
-        pair_keys, pair_values = np.concatenate(keys[:split] or [np.zeros(0, np.uint64)]), np.concatenate(values[:split] or [np.zeros(0)])
-        word_keys, word_values = np.concatenate(keys[split:] or [np.zeros(0, np.uint64)]), np.concatenate(values[split:] or [np.zeros(0)])
+        order = np.argsort(group, kind="stable")
+        of_pairs, of_words = np.split(order, [np.searchsorted(group[order], _WORDS)])
+        pair_keys, word_keys = (_joined(replies.column("keys"), x, np.uint64, True) for x in (of_pairs, of_words))
+        pair_values, word_values = (_joined(replies.column("values"), x, np.float64, False) for x in (of_pairs, of_words))
         end = float(_find(word_keys, word_values, np.zeros(1, np.uint64))[0]) if len(texts) else 0.0
         parts = []
         for batch in texts.to_batches():
@@ -394,18 +420,21 @@ def score(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                 known = np.concatenate(([0], np.cumsum(counts > 0)))
                 n_words = np.diff(k.word_bounds)
                 base = sums[k.word_bounds[1:]] - sums[k.word_bounds[:-1]] + np.log10(end + 1) - (n_words + 1) * np.log10(n + v + 1)
+                scores = np.add.reduceat(log, k.bounds[:-1])
                 parts.append(pa.table({
                     "id": part.column("id"), "train": part.column("train"), "n_tokens": pa.array(n_words + 1),
                     "n_known": pa.array(known[k.word_bounds[1:]] - known[k.word_bounds[:-1]] + int(end > 0)),
                     "train_tokens": pa.array(np.full(len(t), n, np.int64)), "base_score": pa.array(base),
-                    "score": pa.array(np.add.reduceat(log, k.bounds[:-1]))}))
+                    "score": pa.array(scores),
+                    "bits_per_byte": pa.array(-scores * np.log2(10) / np.diff(k.bounds))}))
         return pa.concat_tables(parts) if parts else empty
 
     empty = pa.table({"id": pa.array([], _arrow(docs, id_column)), "train": pa.array([], pa.bool_()),
                       **{c: pa.array([], pa.int64()) for c in ("n_tokens", "n_known", "train_tokens")},
-                      **{c: pa.array([], pa.float64()) for c in ("base_score", "score")}})
+                      **{c: pa.array([], pa.float64()) for c in ("base_score", "score", "bits_per_byte")}})
     return rows.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
-        evaluate, f"id {kind}, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        evaluate, f"id {kind}, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, "
+                  "bits_per_byte double")
 
 
 def _arrow(docs: DataFrame, column: str) -> pa.DataType:

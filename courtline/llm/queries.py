@@ -36,7 +36,7 @@ def op1_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = context_tree.score(docs.withColumn("train", context_tree.training_rows("doc_id")))
     return scored.select(F.col("id").alias("doc_id"), (~F.col("train")).alias("held_out"), "n_tokens", "n_known",
-                         "train_tokens", "base_score", "score")
+                         "train_tokens", "base_score", "score", "bits_per_byte")
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -99,9 +99,10 @@ def test_log_kt():
         math.lgamma(10**6 + .5) + math.lgamma(5.5) - math.lgamma(10**6 + 6) - math.log(math.pi)])
 
 
-@pytest.mark.parametrize("block, fan_in", [(32 * 2**20, 64), (200, 2)])
-def test_scores_against_brute_force(docs, monkeypatch, block, fan_in):
+@pytest.mark.parametrize("block, fan_in, answer", [(32 * 2**20, 64, 2**26), (200, 2, 2**26), (200, 2, 300)])
+def test_scores_against_brute_force(docs, monkeypatch, block, fan_in, answer):
     monkeypatch.setattr(context_tree, "_FAN_IN", fan_in)
+    monkeypatch.setattr(context_tree, "ANSWER_BYTES", answer)
     rows = corpus()
     held = lambda i: i is None or i % 4 == 0
     model = Brute([x for i, x in rows if not held(i)])
@@ -149,3 +150,32 @@ def test_long_texts(docs):
     text = "Wort " * 60_000
     rows = score(docs([(1, text), (2, text + "x")]).withColumn("train", F.lit(True))).collect()
     assert {r.n_tokens for r in rows} == {60_001, 60_002} and all(-3000 < r.score < 0 for r in rows)
+
+
+def test_code_length_per_byte(docs):
+    rows = score(docs([(1, "Ab  c"), (2, None)]).withColumn("train", F.col("doc_id") == 1)).collect()
+    assert {r.id: r.bits_per_byte for r in rows} == pytest.approx(
+        {r.id: -r.score * math.log2(10) / len(coded({1: "Ab  c", 2: None}[r.id])[1]) for r in rows})
+
+
+def test_rows_without_id_and_equal_rows_spread_over_blocks(docs, monkeypatch):
+    seen = []
+    listed = context_tree.listed
+    monkeypatch.setattr(context_tree, "listed", lambda rows, *a: seen.append(rows) or listed(rows, *a))
+    rows = score(docs([(None, "the same text")] * 400).withColumn("train", F.lit(True)), block_bytes=500).collect()
+    assert len(rows) == 400 and len({r.score for r in rows}) == 1
+    sizes = [r["count"] for r in seen[0].groupBy("block").count().collect()]
+    assert len(sizes) == 12 and max(sizes) < 80
+
+
+def test_a_model_is_sent_once_unless_its_group_is_large(docs, spark, monkeypatch):
+    d = docs(corpus(200)).withColumn("train", F.lit(True)).select(
+        F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"), "train", F.pmod(F.hash("doc_id"), F.lit(9)).cast("long").alias("block"))
+    lists = context_tree.listed(d, DEPTH, 6)
+    model = context_tree.written(context_tree.merged(lists, 9), "model")
+    top = context_tree._upper(model, DEPTH)
+    def replies():
+        return {(r.block, r.group): (r.keys, r["values"]) for r in context_tree.answered(lists, model, top, DEPTH).collect()}
+    whole = replies()
+    monkeypatch.setattr(context_tree, "ANSWER_BYTES", 100)
+    assert replies() == whole and len(whole) == lists.count()
