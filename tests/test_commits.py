@@ -1,9 +1,14 @@
 """Versioned tables: what is committed is read, and nothing else."""
 
+import json
+import os
+import subprocess
+import sys
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from courtline import schemas
 from courtline.plans import daily
@@ -131,3 +136,58 @@ def test_a_day_that_is_run_again_predicts_on_the_new_games_only(spark, tmp_path)
         documents = landed.frame(spark).withColumn("sport", F.lit("nba" if name == "one" else "wnba"))
         daily.run_day(spark, documents, stats(spark, dict(TEAM_NAME="Team A")), paths, "UTC", date(2025, 11, 4), LATE)
     assert sports_of(readers.read_ponderations(spark, paths.of("ponderations"), "parquet")) == ["WNBA"]
+
+
+LOGGED_WRITE = """
+import sys
+from pyspark.sql import functions as F
+from courtline.session import build_session
+from courtline.sources import commits
+path, log = sys.argv[1:]
+spark = build_session(master="local[2]", conf={
+    "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.host": "127.0.0.1", "spark.sql.shuffle.partitions": "4",
+    "spark.eventLog.enabled": "true", "spark.eventLog.dir": log, "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false"})
+rows = spark.range(0, 50_000, 1, 4).select("id", F.concat(F.lit("g"), (F.col("id") % 6).cast("string")).alias("g"))
+commits.write_part(rows, path, "p", ("g",))
+spark.stop()
+"""
+
+
+def test_a_write_sorts_no_rows_by_folder(spark, tmp_path):
+    """Sorted, the rows of one task of few shuffled bytes took a gigabyte of memory."""
+    path, log = str(tmp_path / "rows"), tmp_path / "log"
+    log.mkdir()
+    subprocess.run([sys.executable, "-c", LOGGED_WRITE, path, log.as_uri()], check=True, timeout=120, capture_output=True,
+                   env=os.environ | {"PYTHONPATH": os.pathsep.join(sys.path)})
+    events = [json.loads(line) for file in log.iterdir() for line in file.read_text().splitlines()]
+    plans = [e["physicalPlanDescription"] for e in events if "physicalPlanDescription" in e]
+    written = [p for p in plans if "InsertIntoHadoopFsRelationCommand" in p and "g_key" in p.split("InsertInto")[-1]]
+    assert written and not any("Sort" in p for p in written)
+    tasks = [e["Task Metrics"] for e in events if e["Event"] == "SparkListenerTaskEnd"]
+    writers = [t["Peak Execution Memory"] for t in tasks if t["Output Metrics"]["Records Written"] > 1000]
+    assert writers and max(writers) == 0
+    found = commits.committed(spark, path, T.StructType().add("id", "long").add("g", "string"))
+    assert found.count() == found.select("id").distinct().count() == 50_000
+
+
+def test_more_folders_than_a_task_holds_open(spark, tmp_path):
+    path, n = str(tmp_path / "rows"), 3 * commits.OPEN_FOLDERS
+    rows = spark.range(0, 10_000, 1, 1).select("id", (F.col("id") % n).cast("string").alias("g"))
+    before = spark.conf.get(commits._OPEN_FOLDERS, None)
+    assert commits.write_part(rows, path, "p", ("g",)).rows == 10_000
+    assert spark.conf.get(commits._OPEN_FOLDERS, None) == before
+    found = commits.committed(spark, path, rows.schema)
+    assert sorted((r["id"], r["g"]) for r in records(found)) == [(i, str(i % n)) for i in range(10_000)]
+    assert commits.current(spark, path).count() == n
+
+
+def test_a_session_keeps_its_own_number_of_open_folders(spark, tmp_path):
+    path, before = str(tmp_path / "odds"), spark.conf.get(commits._OPEN_FOLDERS, None)
+    for own in ("0", "2"):
+        spark.conf.set(commits._OPEN_FOLDERS, own)
+        try:
+            writers.write_odds_snapshot(games(spark, SPORTS), path, LATE)
+            assert spark.conf.get(commits._OPEN_FOLDERS) == own
+        finally:
+            spark.conf.unset(commits._OPEN_FOLDERS) if before is None else spark.conf.set(commits._OPEN_FOLDERS, before)
+        assert sports_of(readers.read_odds_table(spark, path)) == sorted(SPORTS, key=str)
